@@ -1,0 +1 @@
+"""The engine is batch only; no streaming operators are defined."""
