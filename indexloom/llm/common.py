@@ -189,33 +189,35 @@ def shingles(words: np.ndarray, doc_of: np.ndarray, n_docs: int, k: int) -> tupl
 # ---------------------------------------------------------------- filters of bounded size
 
 
-def bloom_bits(spark: SparkSession, ids: DataFrame, col: str, log2_bits: int = 23) -> np.ndarray:
-    """A one-hash Bloom filter of ``col`` as 2**log2_bits bits (1 MB by default, whatever the input): a true member always passes.
+def bloom_bits(ids: DataFrame, col: str, log2_bits: int = 23) -> np.ndarray:
+    """A one-hash Bloom filter of ``col`` (a long) as 2**log2_bits bits: 1 MB by default, whatever the input.
 
-    A full filter passes everything; it only saves shuffling, results don't depend on it.
+    A member always passes; a full filter passes everything. It only saves shuffling, results don't depend on it.
     """
-    slot = F.pmod(F.xxhash64(col), F.lit(1 << log2_bits))
-    words = ids.select(F.shiftright(slot, 6).alias("w"), F.shiftleft(F.lit(1).cast("long"), (slot % 64).cast("int")).alias("b"))
+    words = ids.select(F.xxhash64(col).alias("h")).selectExpr(f"shiftright(h & {(1 << log2_bits) - 1}L, 6) AS w", "shiftleft(1L, CAST(h & 63 AS INT)) AS b")
     rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
     bits = np.zeros(1 << (log2_bits - 6), np.int64)
     bits[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64)
     return bits
 
 
-def maybe_in(df: DataFrame, col: str, bits: np.ndarray) -> DataFrame:
-    """Rows whose ``col`` may be in the filter of :func:`bloom_bits`."""
-    n_bits = len(bits) * 64
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the xxhash64 values (int64) are in the filter."""
+    slot = hashes & (len(bits) * 64 - 1)
+    return ((bits[slot >> 6] >> (slot & 63)) & 1).astype(bool)
+
+
+def maybe_in(df: DataFrame, col: str, bits: np.ndarray, invert: bool = False) -> DataFrame:
+    """Rows whose ``col`` (a long) may be in the filter of :func:`bloom_bits`; with ``invert`` the rest, which surely isn't."""
     names = df.columns
-    schema = df.schema
 
     def run(batches):
         for b in batches:
-            slot = b.column("__slot").to_numpy(zero_copy_only=False)
-            hit = (bits[slot >> 6] >> (slot & 63)) & 1
+            hit = passes(bits, b.column(len(names)).to_numpy(zero_copy_only=False)) ^ invert
             if hit.any():
-                yield b.select(names).filter(pa.array(hit.astype(bool)))
+                yield b.select(names).filter(pa.array(hit))
 
-    return df.withColumn("__slot", F.pmod(F.xxhash64(col), F.lit(n_bits))).mapInArrow(run, schema)
+    return df.withColumn("__slot", F.xxhash64(col)).mapInArrow(run, df.schema)
 
 
 # ---------------------------------------------------------------- connected components

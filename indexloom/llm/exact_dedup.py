@@ -47,16 +47,16 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, digests: bool = True) -> D
     keys = scratch.table(_keys(docs, digests).withColumn("k2", F.xxhash64("n_bytes", "prefix")), "keys")
     lengths = keys.groupBy("n_bytes").count().where("count > 1").select("n_bytes")
     prefixes = keys.join(lengths, "n_bytes", "left_semi").groupBy("k2").count().where("count > 1").select("k2")
-    rest = keys.join(prefixes, "k2", "left_semi")
+    rest = keys.join(scratch.table(prefixes, "prefixes"), "k2", "left_semi")  # written, so that both sides are plain shuffles
     if not digests:
         rest = scratch.table(rest.select("doc_id", "n_bytes", "prefix"), "rest")
-        again = common.maybe_in(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", common.bloom_bits(spark, rest, "doc_id"))
+        again = common.maybe_in(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", common.bloom_bits(rest, "doc_id"))
         full = _keys(again, True).withColumn("k2", F.xxhash64("n_bytes", "prefix")).select("doc_id", "n_bytes", "prefix", F.col("digest").alias("full")).distinct()
         keyed = keys.drop("digest").join(full, ["doc_id", "n_bytes", "prefix"], "left").withColumnRenamed("full", "digest")
         keys = scratch.table(keyed, "keyed")
         rest = keys.where("digest is not null")
     groups = rest.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    return keys.join(groups, "digest", "left").select(
+    return keys.join(scratch.table(groups, "groups"), "digest", "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_extract, packing, warc
+from . import bpe, exact_dedup, html_extract, minhash, packing, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, _read(spark, sf_dir, "pages")).drop("url", "payload")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(spark, _read(spark, sf_dir, "documents"), k=2)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -40,6 +44,7 @@ def queries() -> dict:
         "op3_packing": op3_packing,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_warc": op5_warc,
+        "op6_minhash": op6_minhash,
         "op9_bpe": op9_bpe,
         "pipeline": corpus_pipeline.run,
     }

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path
+from .common import Scratch, scratch_path
 
 #: Shorter payloads are always stored: a revisit record would not be smaller.
 MIN_PAYLOAD = 100
@@ -22,7 +22,7 @@ HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConten
 SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload string"
 
 
-def resolve_revisits(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
+def resolve_revisits(spark: SparkSession, pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """``pages`` (page_id, url, html) with payload, payload_bytes, payload_digest, record_type and refers_to.
 
     Of payloads with equal SHA-256 and at least ``min_payload`` bytes, the smallest page_id is the response and the
@@ -34,6 +34,7 @@ def resolve_revisits(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFr
     payload = F.coalesce(F.col("html"), F.lit(""))
     heads = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload.cast("binary"), 256).alias("payload_digest"))
     first = heads.where(F.col("payload_bytes") >= min_payload).groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = Scratch(spark, "warc").table(first, "first")
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
     return heads.join(first, "payload_digest", "left").select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
@@ -126,5 +127,5 @@ def archive_pages(spark: SparkSession, pages: DataFrame, path: str | None = None
     """
     path = path or scratch_path(spark, "warc")
     mean = pages.select(F.avg(F.octet_length(F.coalesce(F.col("html"), F.lit(""))))).first()[0] or 0
-    write_archives(resolve_revisits(pages), path, max(1, int(file_bytes / (mean + 512))))
+    write_archives(resolve_revisits(spark, pages), path, max(1, int(file_bytes / (mean + 512))))
     return read_archives(spark, path)
