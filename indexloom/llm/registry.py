@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_extract, minhash, packing, warc
+from . import bpe, exact_dedup, html_extract, minhash, packing, substring, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(spark, _read(spark, sf_dir, "documents"), k=2)
 
 
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(spark, _read(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -45,6 +49,7 @@ def queries() -> dict:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_warc": op5_warc,
         "op6_minhash": op6_minhash,
+        "op7_substring": op7_substring,
         "op9_bpe": op9_bpe,
         "pipeline": corpus_pipeline.run,
     }
