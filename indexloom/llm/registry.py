@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_extract, minhash, packing, substring, warc
+from . import bpe, embedding, exact_dedup, html_extract, minhash, packing, substring, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op10_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_dedup(spark, _read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     import corpus_pipeline
 
@@ -51,6 +55,7 @@ def queries() -> dict:
         "op6_minhash": op6_minhash,
         "op7_substring": op7_substring,
         "op9_bpe": op9_bpe,
+        "op10_embedding": op10_embedding,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -74,10 +79,23 @@ FROM f
 """
 
 
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding) AND list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x),
+d AS (SELECT x AS vec_id, count(*) AS n FROM l GROUP BY x)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c USING (vec_id) LEFT JOIN d USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict:
     import corpus_pipeline
 
-    sql = {"op4_exact_dedup": OP4_SQL, "op5_warc": OP5_SQL}
+    sql = {"op4_exact_dedup": OP4_SQL, "op5_warc": OP5_SQL, "op10_embedding": OP10_SQL}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
