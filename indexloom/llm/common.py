@@ -136,7 +136,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seed:
     padded = np.zeros(len(data) + 8, np.uint8)
     padded[: len(data)] = data
     eight = np.ndarray((len(data) + 1,), np.dtype("<u8"), buffer=padded, strides=(1,))
-    h = mix(lengths.astype(U64) + U64(seed * 2 + 1) * U64(0x9E3779B97F4A7C15))
+    h = mix(lengths.astype(U64) + U64((seed * 2 + 1) * 0x9E3779B97F4A7C15 & MASK64))
     todo, at = np.arange(len(starts)), 0
     while len(todo) and at < 256:
         left = lengths[todo] - at

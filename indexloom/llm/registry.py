@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding, exact_dedup, html_extract, minhash, packing, substring, warc
+from . import bpe, embedding, exact_dedup, html_extract, language, minhash, packing, quality, substring, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_read(spark, sf_dir, "pages"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_read(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -36,6 +40,10 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(spark, _read(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -49,11 +57,13 @@ def queries() -> dict:
 
     return {
         "op1_html_extract": op1_html_extract,
+        "op2_language": op2_language,
         "op3_packing": op3_packing,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_warc": op5_warc,
         "op6_minhash": op6_minhash,
         "op7_substring": op7_substring,
+        "op8_quality": op8_quality,
         "op9_bpe": op9_bpe,
         "op10_embedding": op10_embedding,
         "pipeline": corpus_pipeline.run,
