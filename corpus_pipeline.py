@@ -1,8 +1,83 @@
-"""The corpus pipeline."""
+"""From raw documents to packed training sequences: language, exact, near and substring deduplication, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir), works on all of docs and returns a DataFrame; all but the last return the
+columns of docs. STAGES lists them in order; ``run`` writes each result as Parquet and reads it for the next.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from indexloom.llm import language, minhash, packing, substring
+from indexloom.llm.common import Scratch
+from indexloom.llm.exact_dedup import exact_dedup
+
+#: Documents whose language is less sure go: mean posterior over their words.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters or of no sure language go; ``lang`` is the language found."""
+    return language.keep_identified(docs, MIN_LANGUAGE_SCORE)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal after lower-casing A-Z, the largest doc_id stays. Rows repeated under one id become one."""
+    scratch = Scratch(spark, "stage-exact")
+    gone = scratch.table(exact_dedup(spark, docs, digests=False).where("NOT kept").select("doc_id").distinct(), "gone")
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    twice = scratch.table(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    if not twice.take(1):
+        return kept
+    return kept.join(twice, "doc_id", "left_anti").unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8, the smallest doc_id stays."""
+    gone = minhash.near_dedup(spark, docs, k=5, percent=80).where("NOT kept").select("doc_id").distinct()
+    return docs.join(Scratch(spark, "stage-near").table(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of 50 words that a smaller doc_id has go from the text; documents that lose every word go."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    safe = {c: f"carry_{i}" for i, c in enumerate(rest)}
+    renamed = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(s) for c, s in safe.items()])
+    cut = substring.substring_dedup(spark, renamed, keep_text=True, carry=tuple(safe.values())).where("n_removed = 0 OR n_removed < n_words")
+    text = F.col("kept_text")
+    columns = {"doc_id": F.col("doc_id"), "text": text} | {c: F.col(s) for c, s in safe.items()}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(columns["n_chars"])
+    return cut.select(*[columns[c].alias(c) for c in docs.columns])
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("substring_dedup", cut_repeats),
+    ("packing", pack_sequences),
+]
+
+#: SQL can't express the language model or the tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, from ``documents``."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = scratch.table(docs, name)
+            if i:
+                scratch.drop(STAGES[i - 1][0])
+    return docs

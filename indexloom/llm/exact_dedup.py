@@ -52,7 +52,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, digests: bool = True) -> D
         rest = scratch.table(rest.select("doc_id", "n_bytes", "prefix"), "rest")
         again = common.maybe_in(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", common.bloom_bits(rest, "doc_id"))
         full = _keys(again, True).withColumn("k2", F.xxhash64("n_bytes", "prefix")).select("doc_id", "n_bytes", "prefix", F.col("digest").alias("full")).distinct()
-        keyed = keys.drop("digest").join(full, ["doc_id", "n_bytes", "prefix"], "left").withColumnRenamed("full", "digest")
+        full = full.select(F.col("doc_id").alias("d"), F.col("n_bytes").alias("b"), F.col("prefix").alias("p"), "full")
+        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("n_bytes") == F.col("b")) & (F.col("prefix") == F.col("p"))
+        keyed = keys.drop("digest").join(full, same, "left").select("doc_id", "n_bytes", "prefix", "k2", F.col("full").alias("digest"))
         keys = scratch.table(keyed, "keyed")
         rest = keys.where("digest is not null")
     groups = rest.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")

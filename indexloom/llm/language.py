@@ -183,31 +183,53 @@ def sample_pieces(docs: DataFrame) -> list[tuple[str, list[bytes]]]:
     return sorted((x, bytes(w).split()) for x, w in zip(rows["lang"], rows["words"], strict=True))
 
 
+def label_texts(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of each whole text; the score is the language's mean posterior over the words that have letters."""
+    n = len(texts)
+    if not model.labels:
+        return [UNKNOWN] * n, np.zeros(n)
+    data, offsets = common.text_bytes(texts)
+    data = common.LOWER[data]
+    starts, lengths, doc_of = common.word_spans(data, offsets)
+    letter = (data >= 97) & (data <= 122) | (data >= 128)
+    within = np.r_[0, np.cumsum(letter)]
+    lettered = within[starts + lengths] > within[starts]
+    post = marginals(emissions(model, data, starts, lengths), common.doc_starts(doc_of, n), model.moves, model.start)
+    total = np.zeros((n, len(model.labels)))
+    np.add.at(total, doc_of[lettered], post[lettered])
+    count = np.bincount(doc_of[lettered], minlength=n)
+    known = np.array([has_letter(t) for t in texts.to_pylist()], bool)
+    best = total.argmax(axis=1)
+    score = np.where(known & (count > 0), total.max(axis=1) / np.maximum(count, 1), 0.0)
+    return [model.labels[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)], np.clip(score, 0, 1)
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score of each row; the score is the mean posterior of lang_pred over the words that have letters."""
+    """doc_id, lang_pred, score of each row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = batch.num_rows
-        data, offsets = common.text_bytes(batch.column("text"))
-        data = common.LOWER[data]
-        starts, lengths, doc_of = common.word_spans(data, offsets)
-        letter = (data >= 97) & (data <= 122) | (data >= 128)
-        within = np.r_[0, np.cumsum(letter)]
-        lettered = within[starts + lengths] > within[starts]
-        post = marginals(emissions(model, data, starts, lengths), common.doc_starts(doc_of, n), model.moves, model.start)
-        total = np.zeros((n, max(1, len(model.labels))))
-        if model.labels:
-            np.add.at(total, doc_of[lettered], post[lettered])
-        count = np.bincount(doc_of[lettered], minlength=n)
-        known = np.array([has_letter(t) for t in batch.column("text").to_pylist()], bool) & bool(model.labels)
-        best = total.argmax(axis=1)
-        score = np.where(known & (count > 0), total.max(axis=1) / np.maximum(count, 1), 0.0)
-        langs = [model.labels[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(np.clip(score, 0, 1))], ["doc_id", "lang_pred", "score"])
+        langs, score = label_texts(model, batch.column("text"))
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     return common.map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, lang_pred string, score double", 8 << 20)
 
 
+def keep_identified(docs: DataFrame, min_score: float) -> DataFrame:
+    """The rows of ``docs`` whose language is known with at least ``min_score``, all columns, ``lang`` set to that language.
+
+    Trained on ``docs`` as in :func:`identify`. Null texts and texts without a letter go. No shuffle.
+    """
+    model = train(sample_pieces(docs))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        langs, score = label_texts(model, batch.column("text"))
+        batch = batch.set_column(batch.schema.get_field_index("lang"), "lang", pa.array(langs, pa.string()))
+        return batch.filter(pa.array((score >= min_score) & (np.array(langs) != UNKNOWN)))
+
+    typed = docs.withColumn("lang", F.col("lang").cast("string"))
+    return common.map_text(typed, run, typed.schema, 8 << 20)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of each row of ``docs`` (doc_id, text, lang; others are ignored).
 
