@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,12 @@ from .common import U64, Scratch, mix
 SLOTS, ROWS = 128, 4
 #: Elements whose permutations are held at once.
 CHUNK = 1 << 17
-#: A pair is read in full if its signatures agree this far below the threshold (over five standard deviations).
+#: A pair is read in full if its signatures agree this far below the similarity it is looked at for (over five deviations).
 SLACK = 0.2
-#: Rounds of comparing buckets with one hub before the members off the largest component meet all others.
-HUB_ROUNDS = 4
+#: Buckets with more members far from their hub than this take another hub, HUBS times at most.
+FAR, HUBS = 64, 3
+#: Members of a chunk of a hub's group or of a bucket; chunks meet two by two, so a task holds at most two.
+CHUNK_MEMBERS = 2048
 
 
 def superminhash(elements: np.ndarray, doc_of: np.ndarray, n_docs: int, slots: int = SLOTS) -> np.ndarray:
@@ -104,7 +107,11 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
     return common.map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>", 2 << 20)
 
 
-def _agreeing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _lanes(column) -> np.ndarray:
+    return np.stack([np.asarray(x) for x in column]).view("<u2") if len(column) else np.zeros((0, SLOTS), "<u2")
+
+
+def _agreeing(pairs: DataFrame, reps: DataFrame, percent: float) -> DataFrame:
     """Of pairs (a, b), those whose set sizes allow the similarity and whose signatures come near it."""
     least = int((percent / 100 - SLACK) * SLOTS)
 
@@ -120,22 +127,103 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "ba", "bb").mapInArrow(run, "a long, b long")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose full sets have 100 * intersection >= percent * union."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: float, near: float) -> DataFrame:
+    """(a, b, linked) of pairs whose full sets have 100 * intersection >= near * union; linked: >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yes = np.zeros(b.num_rows, bool)
+            at_least = np.zeros((2, b.num_rows), bool)
             for i, (x, y) in enumerate(zip(b.column("sa"), b.column("sb"), strict=True)):
                 x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")  # merges two sorted runs
-                common_ = int((both[1:] == both[:-1]).sum())
-                yes[i] = 100 * common_ >= percent * (len(both) - common_)
-            yield b.select(["a", "b"]).filter(pa.array(yes))
+                shared = int((both[1:] == both[:-1]).sum())
+                at_least[:, i] = [100 * shared >= p * (len(both) - shared) for p in (near, percent)]
+            rows = pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(at_least[1])], ["a", "b", "linked"])
+            yield rows.filter(pa.array(at_least[0]))
 
     of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, linked boolean")
+
+
+def _chunked(rows: DataFrame, key: str, scratch: Scratch, step: str, keep: str = "true") -> DataFrame:
+    """``rows`` in chunk pairs (key, i, j) of at most twice CHUNK_MEMBERS, for keys for which ``keep`` (an aggregate) holds."""
+    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / CHUNK_MEMBERS).cast("int").alias("chunks"), F.expr(keep).alias("keep")).where("keep").drop("keep")
+    dealt = rows.join(scratch.table(sizes, f"{step}-sizes"), key).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("chunks", "other")
+
+
+def _within_groups(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the near members of a hub and its other members, as forests.
+
+    Rows are (hub, i, j, chunk, rep, linked, shingles). Intersections are exact: only shingles that two members have are
+    counted, one near member against all at a time, so no pair leaves the task.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        apart = rows["i"].iloc[0] != rows["j"].iloc[0]
+        ids, linked, chunk = rows["rep"].to_numpy(), rows["linked"].to_numpy(bool), rows["chunk"].to_numpy()
+        sets = [np.frombuffer(x, np.int64) for x in rows["shingles"]]
+        sizes = np.array([len(x) for x in sets])
+        cuts = np.cumsum(sizes) - sizes
+        _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        mark = np.zeros(len(count), np.int32)
+        out = []
+        for s in np.flatnonzero(~linked).tolist():
+            own = place[cuts[s] : cuts[s] + sizes[s]]
+            mark[own] = 1
+            shared = np.add.reduceat(mark[place], cuts)
+            mark[own] = 0
+            yes = 100 * shared >= percent * (sizes + sizes[s] - shared)
+            if apart:
+                yes &= chunk != chunk[s]
+            yes[s] = False
+            hit = ids[yes]
+            if yes[linked].any():  # all of these are linked with the hub
+                out.append((ids[s], ids[yes & linked].min()))
+                hit = ids[yes & ~linked]
+            out += [(ids[s], x) for x in hit.tolist() if x < ids[s] or apart]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("hub", "i", "j").applyInPandas(run, "a long, b long")
+
+
+def _far_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a bucket with a member far from its hub whose signatures come near the similarity.
+
+    Rows are (bucket, band, i, j, chunk, rep, far, bands). A pair is taken in the first band that it shares.
+    """
+    least = int((percent / 100 - SLACK) * SLOTS)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        apart, band = rows["i"].iloc[0] != rows["j"].iloc[0], int(rows["band"].iloc[0])
+        rows = rows.sort_values("rep")
+        ids, far, chunk = rows["rep"].to_numpy(), rows["far"].to_numpy(bool), rows["chunk"].to_numpy()
+        lanes = _lanes(rows["bands"])
+        keys = lanes.view("<i8")
+        out = []
+        for s in range(1, len(ids)):
+            ok = (far[:s] | far[s]) & ~(keys[:s, :band] == keys[s, :band]).any(axis=1)
+            if apart:
+                ok &= chunk[:s] != chunk[s]
+            at = np.flatnonzero(ok)
+            at = at[(lanes[at] == lanes[s]).sum(axis=1) >= least]
+            out += [(x, ids[s]) for x in ids[at].tolist()]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long")
+
+
+def _common_hubs(members: DataFrame, hubs: DataFrame, scratch: Scratch, turn: int) -> DataFrame:
+    """(bucket, hub) with few hubs in all: the favourite of a bucket's members, whose own favourite is the hub of most of their buckets.
+
+    A hub needn't be in the bucket, what it tells about pairs holds anyway; near copies, which share many buckets, get
+    one hub instead of one for each of their buckets.
+    """
+    votes = members.join(hubs, "bucket").groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("n"))
+    own = scratch.table(votes.groupBy("rep").agg(F.max(F.struct("n", (-F.col("hub")).alias("less"))).alias("v")).select("rep", (-F.col("v.less")).alias("hub")), f"own-hubs{turn}")
+    votes = members.join(own, "rep").groupBy("bucket", "hub").agg(F.count(F.lit(1)).alias("n"))
+    return votes.groupBy("bucket").agg(F.max(F.struct("n", (-F.col("hub")).alias("less"))).alias("v")).select("bucket", (-F.col("v.less")).alias("hub"))
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -165,12 +253,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     node; a null doc_id links with nothing, has no component and is kept. An empty table gives no rows.
 
     Equal sets are one class, represented by its smallest doc_id, so exact copies never make pairs. Representatives
-    meet in band buckets. A bucket isn't paired up: its members are compared with one hub; buckets whose members then
-    lie in one component are done; the others take another hub, for HUB_ROUNDS rounds; after that the members off a
-    bucket's largest component are compared with all members of other components. So every pair of a bucket is either
-    compared or already connected, and the components are those of all pairs that share a band.
+    meet in band buckets, and each bucket's members are compared with one hub, on their full sets (one for many buckets). Jaccard distance is
+    a metric, so of the other pairs only these can link: two members near the hub (similarity 1 - 2 * (1 - t) at least,
+    for the threshold t) of which one isn't linked with it, which are intersected exactly in tasks that hold the hub's
+    group in chunks; and pairs with a member that isn't near the hub. Buckets with many such members take another hub;
+    the rest are compared by signature in the bucket, and on full sets where those agree. So each pair of a bucket is
+    compared or ruled out, and the components are those of all pairs that share a band. No group is paired up in rows.
     """
     scratch = Scratch(spark, "minhash")
+    near = 100 - 2 * (100 - percent)
     drawn = scratch.table(sketch(docs, k), "sketch")
     classes = drawn.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     classes = scratch.table(classes, "classes")  # written, so that the join has two plain shuffles and a hot class is split
@@ -179,41 +270,36 @@ def near_dedup(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     nodes = scratch.table(nodes, "nodes")
     scratch.drop("sketch", "classes")
     reps = nodes.where("bands is not null").select("rep", "n_shingles", "bands").dropDuplicates(["rep"])
-    rows = reps.select("rep", F.posexplode("bands").alias("i", "key")).select("rep", F.xxhash64("i", "key").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = scratch.table(rows.join(scratch.table(shared, "shared"), "bucket"), "members")
+    rows = reps.select("rep", F.posexplode("bands").alias("band", "key")).select("rep", "band", F.xxhash64("band", "key").alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    members = scratch.table(rows.join(scratch.table(shared, "shared"), "bucket"), "members0")
     scratch.drop("shared")
     sets = scratch.table(_sets(docs, members.select("rep").distinct(), k), "sets")
-    links = tested = labels = None
-    for turn in range(HUB_ROUNDS + 1):
-        if turn:  # only buckets whose members aren't all connected yet
-            named = members.drop("component").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-            mixed = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-            mixed = scratch.table(mixed, f"mixed{turn}")
-            left = scratch.table(named.where("n > 2").join(mixed, "bucket"), f"members{turn}")
-            scratch.drop(f"members{turn - 1}" if turn > 1 else "members", f"mixed{turn}")
-            members = left
-            if not members.take(1):
-                break
-        else:
-            members = members.withColumn("component", F.col("rep"))
-        if turn < HUB_ROUNDS:
-            hub = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)), "rep", "component")).alias("h")).select("bucket", F.col("h.rep").alias("hub"), F.col("h.component").alias("hub_component"))
-        else:
-            sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
-            main = sizes.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("m")).select("bucket", F.col("m.component").alias("main"))
-            hub = members.join(main, "bucket").where("component <> main").select("bucket", F.col("rep").alias("hub"), F.col("component").alias("hub_component"))
-        hub = scratch.table(hub, f"hub{turn}")
-        pairs = members.join(hub, "bucket").where("component <> hub_component").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.table(pairs, f"pairs{turn}")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = scratch.table(_linked(_agreeing(pairs, reps, percent), sets, percent), f"links{turn}")
-        links = found if links is None else links.union(found)
-        if turn and not found.take(1):
-            continue
-        labels = common.components(spark, links, "minhash")
+    links = None
+    for turn in range(HUBS + 1):
+        hubs = members.groupBy("bucket").agg(F.min("rep" if not turn else F.struct(F.xxhash64("rep", F.lit(turn)), "rep")).alias("h"))
+        hubs = scratch.table(hubs.select("bucket", F.col("h" if not turn else "h.rep").alias("hub")), f"first-hubs{turn}")
+        hubs = scratch.table(_common_hubs(members, hubs, scratch, turn), f"hubs{turn}")
+        joined = members.join(hubs, "bucket").where("rep <> hub")
+        pairs = scratch.table(joined.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), f"pairs{turn}")
+        kinds = scratch.table(_compared(_agreeing(pairs, reps, near), sets, percent, near), f"kinds{turn}")
+        links = kinds.where("linked").select("a", "b") if links is None else links.union(kinds.where("linked").select("a", "b"))
+        group = kinds.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "linked")
+        group = _chunked(group, "hub", scratch, f"group{turn}", "count(*) > 1 AND NOT bool_and(linked)").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        links = links.union(scratch.table(_within_groups(group, percent), f"within{turn}"))
+        kind = kinds.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "linked")
+        left = joined.join(kind, ["hub", "rep"], "left").where("linked IS NULL OR NOT linked").select("bucket", "band", "rep", F.col("linked").isNull().alias("far"))
+        left = scratch.table(left, f"left{turn}")
+        counts = left.groupBy("bucket").agg(F.count_if("far").alias("far_members"), F.count(F.lit(1)).alias("n")).where("n > 1 AND far_members > 0")
+        counts = scratch.table(counts, f"counts{turn}")
+        few = left.join(counts.where(f"far_members <= {FAR}" if turn < HUBS else "true").select("bucket"), "bucket")
+        few = _chunked(few, "bucket", scratch, f"few{turn}").join(reps.select("rep", "bands"), "rep")
+        apart = scratch.table(_far_pairs(few, percent).distinct(), f"apart{turn}")
+        links = links.union(scratch.table(_compared(apart, sets, percent, percent).select("a", "b"), f"apart-links{turn}"))
+        if turn == HUBS or not counts.where(f"far_members > {FAR}").take(1):
+            break
+        members = scratch.table(left.join(counts.where(f"far_members > {FAR}").select("bucket"), "bucket").select("bucket", "band", "rep"), f"members{turn + 1}")
+    labels = common.components(spark, links, "minhash")
     scratch.drop("sets")
     return nodes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.col("doc_id").eqNullSafe(F.coalesce("component", "rep")).alias("kept")

@@ -57,8 +57,10 @@ def made(seed, n_base=6, copies=12):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed,k", [(1, 2), (2, 5), (3, 2)])
-def test_like_brute_force(spark, seed, k):
+@pytest.mark.parametrize("seed,k,chunk,far", [(1, 2, 2048, 64), (2, 5, 5, 2), (3, 2, 3, 0)])
+def test_like_brute_force(spark, monkeypatch, seed, k, chunk, far):
+    monkeypatch.setattr(minhash, "CHUNK_MEMBERS", chunk)
+    monkeypatch.setattr(minhash, "FAR", far)
     rows = made(seed)
     df = spark.createDataFrame([(d, t, None, 7) for d, t in rows], DOCS)
     got = sorted(tuple(r) for r in minhash.near_dedup(spark, df, k).collect())
