@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from array import array
@@ -20,6 +21,8 @@ from . import bpe, common
 CAPACITY = 2048
 #: Tokens that are packed at once in a task; bounds its memory.
 WINDOW = 1 << 20
+#: Pre-tokens in a generation of the cache of a worker.
+CACHED = 400_000
 #: Closes each document.
 END_ID = 1
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -96,26 +99,42 @@ def last_sequences(rest: list[Piece]) -> list[list[Piece]]:
     return out
 
 
-_TOKENIZERS: dict[str, tuple[Tokenizer, bpe.PieceCache, list[str]]] = {}
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies write for each byte: itself if it prints, else the next one from U+0100 on."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    return {b: b for b in printed} | {b: 0x100 + i for i, b in enumerate(others)}
 
 
-def _tokenizer(path: str) -> tuple[Tokenizer, bpe.PieceCache, list[str]]:
-    """Once in each Python worker: the tokenizer, its ids of single pre-tokens, and the strings it has as special tokens."""
+_TOKENIZERS: dict[str, tuple[Tokenizer, bpe.PieceCache | None, list[str]]] = {}
+
+
+def _tokenizer(path: str) -> tuple[Tokenizer, bpe.PieceCache | None, list[str]]:
+    """Once in each Python worker: the tokenizer, the ids of single pre-tokens by its model, and its special tokens.
+
+    The cache is for plain byte-level BPE; another tokenizer has none and encodes whole texts.
+    """
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         t = Tokenizer.from_file(path)
-        _TOKENIZERS[path] = t, bpe.PieceCache(lambda raw: t.encode(raw.decode(), add_special_tokens=False).ids), [x.content for x in t.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        split = parts["pre_tokenizer"] or {}
+        plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not parts["normalizer"]
+        model, letters = t.model, _byte_letters()
+        by_piece = lambda raw: [x.id for x in model.tokenize(raw.decode("latin-1").translate(letters))]
+        _TOKENIZERS[path] = t, bpe.PieceCache(by_piece, CACHED) if plain else None, [x.content for x in t.get_added_tokens_decoder().values()]
     return _TOKENIZERS[path]
 
 
 def token_ids(path: str, text: str) -> bytes:
     """Ids by the tokenizer as little-endian unsigned 32-bit integers, without added special tokens.
 
-    A byte-level tokenizer encodes each pre-token on its own, so ids are looked up by pre-token; a text that has the
-    string of a special token goes through the tokenizer whole.
+    A byte-level tokenizer encodes each pre-token on its own, so its model is asked once for each and ids are looked up
+    from then on; a text that has the string of a special token goes through the tokenizer whole.
     """
     tokenizer, cache, special = _tokenizer(path)
-    if any(x in text for x in special):
+    if cache is None or any(x in text for x in special):
         return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
     return bpe.encode_text(cache, text)
 
