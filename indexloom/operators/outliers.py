@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,27 +14,38 @@ def _flag(x: Column, low: Column, high: Column) -> Column:
     return F.when((x < low) | (x > high), 1).when((x >= low) & (x <= high), 0).cast("int")
 
 
+def _by_group(df: DataFrame, group_cols: Sequence[str], figures: Column, low: Column, high: Column, column: str, into: str) -> DataFrame:
+    """Flags by fences made of each group's ``figures``.
+
+    Figures are aggregated before they are shuffled and joined back, so no group is gathered or sorted in one task; they
+    are few, and adaptive execution broadcasts them by measured size. A null key is a group like others.
+    """
+    keys = {f"_k{i}": c for i, c in enumerate(group_cols)}
+    fences = df.groupBy(*[F.col(c).alias(k) for k, c in keys.items()]).agg(figures.alias("_f"))
+    joined = df.join(fences, reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for k, c in keys.items()]), "left")
+    return joined.withColumn(into, _flag(F.col(column), low, high)).drop("_f", *keys)
+
+
 def ksigma(df: DataFrame, group_cols: Sequence[str], column: str = "price", k: float = 2.0, into: str = "outlier") -> DataFrame:
     """Mean of the group plus and minus k sample standard deviations; null for groups of one."""
-    w = Window.partitionBy(*group_cols)
-    m, s = F.mean(column).over(w), F.stddev(column).over(w)
-    return df.withColumn(into, _flag(F.col(column), m - k * s, m + k * s))
+    m, s = F.col("_f.m"), F.col("_f.s")
+    return _by_group(df, group_cols, F.struct(F.mean(column).alias("m"), F.stddev(column).alias("s")), m - k * s, m + k * s, column, into)
 
 
-def _quartiles(df: DataFrame, group_cols: Sequence[str], column: str) -> DataFrame:
-    return df.withColumn("_q", F.percentile_approx(column, [0.25, 0.5, 0.75]).over(Window.partitionBy(*group_cols)))
+def _quartiles(column: str) -> tuple[Column, list[Column]]:
+    return F.percentile_approx(column, [0.25, 0.5, 0.75]), [F.col("_f")[i] for i in range(3)]
 
 
 def tukey(df: DataFrame, group_cols: Sequence[str], column: str = "price", k: float = 1.5, into: str = "outlier") -> DataFrame:
     """k interquartile ranges below the first and above the third quartile."""
-    q1, q3 = F.col("_q")[0], F.col("_q")[2]
-    return _quartiles(df, group_cols, column).withColumn(into, _flag(F.col(column), q1 - k * (q3 - q1), q3 + k * (q3 - q1))).drop("_q")
+    figures, (q1, _, q3) = _quartiles(column)
+    return _by_group(df, group_cols, figures, q1 - k * (q3 - q1), q3 + k * (q3 - q1), column, into)
 
 
 def kimber(df: DataFrame, group_cols: Sequence[str], column: str = "price", k: float = 1.5, into: str = "outlier") -> DataFrame:
     """k half ranges: median less first quartile below it, third quartile less median above that."""
-    q1, q2, q3 = (F.col("_q")[i] for i in range(3))
-    return _quartiles(df, group_cols, column).withColumn(into, _flag(F.col(column), q1 - k * (q2 - q1), q3 + k * (q3 - q2))).drop("_q")
+    figures, (q1, q2, q3) = _quartiles(column)
+    return _by_group(df, group_cols, figures, q1 - k * (q2 - q1), q3 + k * (q3 - q2), column, into)
 
 
 def fences_table(spark: SparkSession, fences: Mapping[str, Sequence[float]]) -> DataFrame:
