@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +58,17 @@ def one_row_per_product(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     return df.repartition(*cols(keys)).groupBy(*keys, "month").agg(F.sum("price").alias("price"), F.sum("quantity").alias("quantity"))
 
 
+def with_group_figures(df: DataFrame, group_cols: Sequence[str], **figures: Column) -> DataFrame:
+    """``df`` with each group's aggregates as columns.
+
+    Figures are aggregated before they are shuffled and joined back, so no group is gathered or sorted in one task; they
+    are few, and adaptive execution broadcasts them by measured size. A null key is a group like others.
+    """
+    keys = {f"_k{i}": c for i, c in enumerate(group_cols)}
+    few = df.groupBy(*[F.col(c).alias(k) for k, c in keys.items()]).agg(*[f.alias(n) for n, f in figures.items()])
+    return df.join(few, reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for k, c in keys.items()]), "left").drop(*keys)
+
+
 def melt(df: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str], var_name: str = "variable", value_name: str = "value") -> DataFrame:
     """Wide to long; null cells stay."""
     return df.unpivot(list(id_vars), list(value_vars), var_name, value_name)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.schema import cols, melt
+from ..functions.schema import cols, melt, with_group_figures
 
 
 def _consecutive(later: Column, earlier: Column) -> Column:
@@ -72,8 +72,7 @@ def flag_stats(df: DataFrame, group_cols: Sequence[str], flag: str) -> DataFrame
 def distributions(df: DataFrame, group_cols: Sequence[str], column: str, n_bins: int) -> DataFrame:
     """Counts in ``n_bins`` equal bins from the group's largest value down; ``column`` is a bin's upper edge. Empty bins have 0."""
     by_bin = df.select(*cols(group_cols), F.col(column).alias("x"))
-    w = Window.partitionBy(*group_cols)
-    by_bin = by_bin.withColumns({"high": F.max("x").over(w), "low": F.min("x").over(w)}).where("x IS NOT NULL")
+    by_bin = with_group_figures(by_bin.where("x IS NOT NULL"), group_cols, high=F.max("x"), low=F.min("x"))
     step = (F.col("high") - F.col("low")) / n_bins
     by_bin = by_bin.withColumn("step", step)
     place = F.when(F.col("step") > 0, F.least(F.lit(n_bins - 1), F.floor((F.col("high") - F.col("x")) / F.col("step")).cast("int"))).otherwise(n_bins - 1)

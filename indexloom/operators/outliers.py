@@ -3,27 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.schema import with_group_figures
+
 
 def _flag(x: Column, low: Column, high: Column) -> Column:
     return F.when((x < low) | (x > high), 1).when((x >= low) & (x <= high), 0).cast("int")
 
 
 def _by_group(df: DataFrame, group_cols: Sequence[str], figures: Column, low: Column, high: Column, column: str, into: str) -> DataFrame:
-    """Flags by fences made of each group's ``figures``.
-
-    Figures are aggregated before they are shuffled and joined back, so no group is gathered or sorted in one task; they
-    are few, and adaptive execution broadcasts them by measured size. A null key is a group like others.
-    """
-    keys = {f"_k{i}": c for i, c in enumerate(group_cols)}
-    fences = df.groupBy(*[F.col(c).alias(k) for k, c in keys.items()]).agg(figures.alias("_f"))
-    joined = df.join(fences, reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for k, c in keys.items()]), "left")
-    return joined.withColumn(into, _flag(F.col(column), low, high)).drop("_f", *keys)
+    """Flags by fences made of each group's ``figures``."""
+    return with_group_figures(df, group_cols, _f=figures).withColumn(into, _flag(F.col(column), low, high)).drop("_f")
 
 
 def ksigma(df: DataFrame, group_cols: Sequence[str], column: str = "price", k: float = 2.0, into: str = "outlier") -> DataFrame:
