@@ -157,6 +157,10 @@ class PieceCache(dict):
         self[piece] = got
         return got
 
+    def forget(self) -> None:
+        self.old = {}
+        self.clear()
+
 
 def encode_text(cache: PieceCache, text: str) -> bytes:
     return b"".join(map(cache.__getitem__, pre_tokens(text)))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -57,6 +59,16 @@ class Scratch:
 
 # ---------------------------------------------------------------- documents
 
+#: Bytes of an Arrow batch on its way to Python, where the session has Spark's default; whole batches of long texts are large.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bounded_batches(df: DataFrame) -> None:
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_CONF, None) == _BATCH_DEFAULT:
+        conf.set(_BATCH_CONF, f"{BATCH_BYTES}b")
+
 
 def with_crc_fold(df: DataFrame, id_col: str, mod: int) -> DataFrame:
     """``fold``: crc32 of the id as text, modulo ``mod``; a null id counts as the empty text."""
@@ -64,13 +76,23 @@ def with_crc_fold(df: DataFrame, id_col: str, mod: int) -> DataFrame:
     return df.withColumn("fold", F.crc32(text.cast("binary")) % mod)
 
 
+def release() -> None:
+    """Gives freed memory back at the end of a task; Python workers live on, and what they keep adds up over stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, max_bytes: int = 4 << 20, text_col: str = "text") -> DataFrame:
     """``fn`` over slices of Arrow batches that hold about ``max_bytes`` of ``text_col`` (or one longer text)."""
 
+    bounded_batches(df)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, text_col, max_bytes):
                 yield fn(piece)
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -207,15 +229,17 @@ def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bits[slot >> 6] >> (slot & 63)) & 1).astype(bool)
 
 
-def maybe_in(df: DataFrame, col: str, bits: np.ndarray, invert: bool = False) -> DataFrame:
-    """Rows whose ``col`` (a long) may be in the filter of :func:`bloom_bits`; with ``invert`` the rest, which surely isn't."""
+def maybe_in(df: DataFrame, col: str, bits: np.ndarray) -> DataFrame:
+    """Rows whose ``col`` (a long) may be in the filter of :func:`bloom_bits`."""
     names = df.columns
+    bounded_batches(df)
 
     def run(batches):
         for b in batches:
-            hit = passes(bits, b.column(len(names)).to_numpy(zero_copy_only=False)) ^ invert
+            hit = passes(bits, b.column(len(names)).to_numpy(zero_copy_only=False))
             if hit.any():
                 yield b.select(names).filter(pa.array(hit))
+        release()
 
     return df.withColumn("__slot", F.xxhash64(col)).mapInArrow(run, df.schema)
 

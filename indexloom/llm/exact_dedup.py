@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,15 @@ from .common import LOWER, Scratch
 PREFIX_BYTES = 64
 
 
-def _keys(docs: DataFrame, digests: bool) -> DataFrame:
-    """doc_id, n_bytes, prefix and (if asked for) the full digest of the text with A-Z lower-cased."""
+def _keys(docs: DataFrame, digests: bool, among: np.ndarray | None = None) -> DataFrame:
+    """doc_id, n_bytes, prefix and (if asked for) the full digest of the text with A-Z lower-cased.
+
+    Of all rows, or of those whose id may be in the filter ``among``.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if among is not None:
+            batch = batch.filter(pa.array(common.passes(among, batch.column("slot").to_numpy(zero_copy_only=False))))
         data, offsets = common.text_bytes(batch.column("text"))
         raw = memoryview(LOWER[data].tobytes())
         spans = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
@@ -26,7 +32,8 @@ def _keys(docs: DataFrame, digests: bool) -> DataFrame:
         full = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in spans] if digests else [None] * len(spans)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([b - a for a, b in spans], pa.int64()), pa.array(prefix, pa.int64()), pa.array(full, pa.string())], ["doc_id", "n_bytes", "prefix", "digest"])
 
-    return common.map_text(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, n_bytes long, prefix long, digest string")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("slot", F.xxhash64("doc_id"))
+    return common.map_text(slim, run, "doc_id long, n_bytes long, prefix long, digest string")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, digests: bool = True) -> DataFrame:
@@ -50,8 +57,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, digests: bool = True) -> D
     rest = keys.join(scratch.table(prefixes, "prefixes"), "k2", "left_semi")  # written, so that both sides are plain shuffles
     if not digests:
         rest = scratch.table(rest.select("doc_id", "n_bytes", "prefix"), "rest")
-        again = common.maybe_in(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", common.bloom_bits(rest, "doc_id"))
-        full = _keys(again, True).withColumn("k2", F.xxhash64("n_bytes", "prefix")).select("doc_id", "n_bytes", "prefix", F.col("digest").alias("full")).distinct()
+        full = _keys(docs, True, common.bloom_bits(rest, "doc_id")).withColumn("k2", F.xxhash64("n_bytes", "prefix")).select("doc_id", "n_bytes", "prefix", F.col("digest").alias("full")).distinct()
         full = full.select(F.col("doc_id").alias("d"), F.col("n_bytes").alias("b"), F.col("prefix").alias("p"), "full")
         same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("n_bytes") == F.col("b")) & (F.col("prefix") == F.col("p"))
         keyed = keys.drop("digest").join(full, same, "left").select("doc_id", "n_bytes", "prefix", "k2", F.col("full").alias("digest"))

@@ -18,6 +18,8 @@ from .common import U64, mix
 SAMPLE_DOCS, PIECES, PIECE_WORDS = 600, 3, 24
 #: Documents of folds other than this one, of FOLDS, may be learned from.
 FOLDS, HELD_OUT = 4, 2
+#: Bytes of text that are labelled at once.
+SLICE = 3 << 20
 #: Hashed features.
 TABLE = 1 << 16
 UNKNOWN = "und"
@@ -64,9 +66,12 @@ def emissions(model: Model, data: np.ndarray, starts: np.ndarray, lengths: np.nd
     if not len(starts):
         return np.zeros((0, len(model.labels)), np.float32)
     _, first, back = np.unique(common.hash_spans(data, starts, lengths), return_index=True, return_inverse=True)
-    f, owner = features(data, starts[first], lengths[first])
-    cuts = np.searchsorted(owner, np.arange(len(first)))
-    return np.add.reduceat(model.weights[f], cuts, axis=0)[back]
+    out = np.empty((len(first), len(model.labels)), np.float32)
+    for lo in range(0, len(first), 1 << 15):  # feature lists of so many words are held at once
+        part = first[lo : lo + (1 << 15)]
+        f, owner = features(data, starts[part], lengths[part])
+        out[lo : lo + len(part)] = np.add.reduceat(model.weights[f], np.searchsorted(owner, np.arange(len(part))), axis=0)
+    return out[back]
 
 
 def marginals(scores: np.ndarray, bounds: np.ndarray, moves: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -211,7 +216,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         langs, score = label_texts(model, batch.column("text"))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
-    return common.map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, lang_pred string, score double", 8 << 20)
+    return common.map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, lang_pred string, score double", SLICE)
 
 
 def keep_identified(docs: DataFrame, min_score: float) -> DataFrame:
@@ -227,7 +232,7 @@ def keep_identified(docs: DataFrame, min_score: float) -> DataFrame:
         return batch.filter(pa.array((score >= min_score) & (np.array(langs) != UNKNOWN)))
 
     typed = docs.withColumn("lang", F.col("lang").cast("string"))
-    return common.map_text(typed, run, typed.schema, 8 << 20)
+    return common.map_text(typed, run, typed.schema, SLICE)
 
 
 def identify(docs: DataFrame) -> DataFrame:

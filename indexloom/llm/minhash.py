@@ -16,7 +16,7 @@ from .common import U64, Scratch, mix
 #: Slots of a signature, of which four make a band: at a similarity of 0.8 a pair misses all 32 bands once in 20 million.
 SLOTS, ROWS = 128, 4
 #: Elements whose permutations are held at once.
-CHUNK = 1 << 17
+CHUNK = 1 << 16
 #: A pair is read in full if its signatures agree this far below the similarity it is looked at for (over five deviations).
 SLACK = 0.2
 #: Buckets with more members far from their hub than this take another hub, HUBS times at most.
@@ -104,7 +104,7 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(counts > 0, width, 0))], pa.int32()), pa.array(keys[counts > 0].reshape(-1)), mask=pa.array(counts == 0))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists], ["doc_id", "n_shingles", "s1", "s2", "bands"])
 
-    return common.map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>", 2 << 20)
+    return common.map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>", 1 << 20)
 
 
 def _lanes(column) -> np.ndarray:
@@ -241,7 +241,7 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([signed[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["doc_id", "shingles"])
 
     keyed = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("slot", F.xxhash64("doc_id"))
-    return common.map_text(keyed, run, "doc_id long, shingles binary")
+    return common.map_text(keyed, run, "doc_id long, shingles binary", 1 << 20)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -22,7 +22,7 @@ CAPACITY = 2048
 #: Tokens that are packed at once in a task; bounds its memory.
 WINDOW = 1 << 20
 #: Pre-tokens in a generation of the cache of a worker.
-CACHED = 400_000
+CACHED = 200_000
 #: Closes each document.
 END_ID = 1
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -106,13 +106,13 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in printed} | {b: 0x100 + i for i, b in enumerate(others)}
 
 
-_TOKENIZERS: dict[str, tuple[Tokenizer, bpe.PieceCache | None, list[str]]] = {}
+_TOKENIZERS: dict[str, tuple[Tokenizer, bpe.PieceCache, list[str]]] = {}
 
 
-def _tokenizer(path: str) -> tuple[Tokenizer, bpe.PieceCache | None, list[str]]:
+def _tokenizer(path: str) -> tuple[Tokenizer, bpe.PieceCache, list[str]]:
     """Once in each Python worker: the tokenizer, the ids of single pre-tokens by its model, and its special tokens.
 
-    The cache is for plain byte-level BPE; another tokenizer has none and encodes whole texts.
+    The cache is for plain byte-level BPE; another tokenizer encodes whole texts.
     """
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -123,7 +123,7 @@ def _tokenizer(path: str) -> tuple[Tokenizer, bpe.PieceCache | None, list[str]]:
         plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not parts["normalizer"]
         model, letters = t.model, _byte_letters()
         by_piece = lambda raw: [x.id for x in model.tokenize(raw.decode("latin-1").translate(letters))]
-        _TOKENIZERS[path] = t, bpe.PieceCache(by_piece, CACHED) if plain else None, [x.content for x in t.get_added_tokens_decoder().values()]
+        _TOKENIZERS[path] = t, bpe.PieceCache(by_piece if plain else None, CACHED), [x.content for x in t.get_added_tokens_decoder().values()]
     return _TOKENIZERS[path]
 
 
@@ -134,7 +134,7 @@ def token_ids(path: str, text: str) -> bytes:
     from then on; a text that has the string of a special token goes through the tokenizer whole.
     """
     tokenizer, cache, special = _tokenizer(path)
-    if cache is None or any(x in text for x in special):
+    if cache.ids is None or any(x in text for x in special):
         return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
     return bpe.encode_text(cache, text)
 
@@ -187,6 +187,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bo
                         yield rows(full)
         full, held = pack_window(held, capacity)
         yield rows(full + last_sequences(held))
+        if tokenizer in _TOKENIZERS:  # the worker lives on
+            _TOKENIZERS[tokenizer][1].forget()
+        common.release()
 
     schema = SCHEMA + (", ids array<long>" if keep_ids else "")
+    common.bounded_batches(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

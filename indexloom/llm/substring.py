@@ -100,7 +100,7 @@ def _segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
         names = s.names(s.start, s.count + window - 1) if len(s.doc) else [s.first, s.first]
         return pa.RecordBatch.from_arrays([ids, pa.array(s.seed.view(np.int64)), *map(pa.array, names), pa.array(s.first), pa.array(s.count)], ["doc_id", "seed", "s1", "s2", "first", "windows"])
 
-    return common.map_text(docs, run, "doc_id long, seed long, s1 long, s2 long, first long, windows long", 2 << 20)
+    return common.map_text(docs, run, "doc_id long, seed long, s1 long, s2 long, first long, windows long", 1 << 20)
 
 
 def _windows(docs: DataFrame, seeds: np.ndarray, window: int, anchor: int) -> DataFrame:
@@ -120,7 +120,7 @@ def _windows(docs: DataFrame, seeds: np.ndarray, window: int, anchor: int) -> Da
             doc, names, first = s.doc, [s.first, s.first], s.first
         return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(doc)), *map(pa.array, names), pa.array(first)], ["doc_id", "w1", "w2", "first"])
 
-    return common.map_text(docs, run, "doc_id long, w1 long, w2 long, first long", 2 << 20)
+    return common.map_text(docs, run, "doc_id long, w1 long, w2 long, first long", 1 << 20)
 
 
 def _low_bits(rows: DataFrame, col: str, log2_bits: int) -> np.ndarray:
@@ -171,12 +171,20 @@ def _kept(words: list[bytes], first: np.ndarray, length: np.ndarray) -> tuple[in
     return int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
 
 
-def _finish(rows: DataFrame, cut: bool, keep_text: bool) -> DataFrame:
-    """Counts, digest and (if asked for) text; bytes.split() splits at exactly the contract's white space."""
+def _finish(rows: DataFrame, keep_text: bool, without: np.ndarray | None = None) -> DataFrame:
+    """Counts, digest and (if asked for) text; bytes.split() splits at exactly the contract's white space.
+
+    Rows have their runs; with ``without`` (a filter of ids that may have runs) they have none, and those ids are left out.
+    """
+    cut = without is None
+    if not cut:
+        rows = rows.withColumn("slot", F.xxhash64("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in common.slices(whole, "text", 4 << 20):
+            if not cut:
+                whole = whole.filter(pa.array(~common.passes(without, whole.column("slot").to_numpy(zero_copy_only=False))))
+            for batch in common.slices(whole, "text", 1 << 20):
                 n, removed, digests, texts = [], [], [], []
                 runs = batch.column("runs") if cut else None
                 for i, text in enumerate(batch.column("text").to_pylist()):
@@ -197,14 +205,15 @@ def _finish(rows: DataFrame, cut: bool, keep_text: bool) -> DataFrame:
                     columns.append(pa.array(texts, pa.string()))
                     names.append("kept_text")
                     for name in batch.schema.names:
-                        if name not in ("doc_id", "text", "runs"):
+                        if name not in ("doc_id", "text", "runs", "slot"):
                             columns.append(batch.column(name))
                             names.append(name)
                 yield pa.RecordBatch.from_arrays(columns, names)
+        common.release()
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     if keep_text:
-        schema += ", kept_text string" + "".join(f", `{n}` {t}" for n, t in rows.dtypes if n not in ("doc_id", "text", "runs"))
+        schema += ", kept_text string" + "".join(f", `{n}` {t}" for n, t in rows.dtypes if n not in ("doc_id", "text", "runs", "slot"))
     return rows.mapInArrow(run, schema)
 
 
@@ -227,6 +236,6 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     runs = scratch.table(found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "words")).alias("runs")), "runs")
     bits = common.bloom_bits(runs, "doc_id", max(20, min(28, (8 * runs.count()).bit_length())))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
-    clean = _finish(common.maybe_in(rows, "doc_id", bits, invert=True), False, keep_text)
-    cut = _finish(common.maybe_in(rows, "doc_id", bits).join(runs, "doc_id", "left"), True, keep_text)
+    clean = _finish(rows, keep_text, bits)  # filtered and finished in one pass, so by one Python worker
+    cut = _finish(common.maybe_in(rows, "doc_id", bits).join(runs, "doc_id", "left"), keep_text)
     return clean.unionByName(cut)
