@@ -284,12 +284,11 @@ for _name in _PAIRS:
         _with(_pair_cte(_name), *_RYGEKS, final=f"SELECT item, month, {_r('v', 'index_value')} FROM rygeks"),
     )
 
-# Prices and quantities of the first five months, eighty rounds: by then no index moves by the tolerance any more.
+# The SQL takes the first five months only, eighty rounds: by then no index moves by the tolerance any more. The queries take all months.
 _GK_END = "1995-05-01"
-_gk_short = lambda s, d: obs.series(s, d).where(F.col("month") <= F.lit(_GK_END).cast("date"))
 _add(
     "geary_khamis",
-    lambda s, d: geary_khamis.geary_khamis(_gk_short(s, d), G, False, GK_TOLERANCE),
+    lambda s, d: geary_khamis.geary_khamis(obs.series(s, d), G, False, GK_TOLERANCE),
     _with(
         f"o AS (SELECT * FROM series WHERE month <= DATE '{_GK_END}')",
         "y AS (SELECT *, quantity / sum(quantity) OVER (PARTITION BY item, product_id) AS share, dense_rank() OVER (PARTITION BY item ORDER BY month) AS t FROM o)",
@@ -305,7 +304,7 @@ _add(
         final=f"SELECT item, unnest(months) AS month, {_r('unnest(p)', 'index_value')} FROM it WHERE i = 80",
     ),
 )
-_add("geary_khamis_all_periods", lambda s, d: geary_khamis.geary_khamis(_gk_short(s, d), G, True))
+_add("geary_khamis_all_periods", lambda s, d: geary_khamis.geary_khamis(obs.series(s, d), G, True))
 
 
 def _retailer_jevons(s: SparkSession, d: str) -> DataFrame:
