@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Last month of the window that pairs of months are formed over.
-WINDOW_END = "1997-01-01"
 GROUP = ["item"]
 
 SQL = """
@@ -55,11 +53,6 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _averaged(quotes(spark, sf_dir), "product_id")
 
 
-def short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``series`` over the first 25 months."""
-    return _averaged(quotes(spark, sf_dir).where(F.col("month") <= F.lit(WINDOW_END).cast("date")), "product_id")
-
-
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts by month: sparse series."""
     return _averaged(quotes(spark, sf_dir), "part")

@@ -253,6 +253,7 @@ _PAIRS = {
 
 
 def _pair_cte(name: str) -> str:
+    """Pairs up to January 1997 only; the queries take all months."""
     return f"pairs AS (SELECT a.item, a.month AS base_month, b.month AS month, {_PAIRS[name]} AS p FROM short a JOIN short b USING (item, product_id) {'WHERE a.month <> b.month' if name == 'jevons' else ''} GROUP BY a.item, a.month, b.month)"
 
 
@@ -273,14 +274,14 @@ _RYGEKS = (
 for _name in _PAIRS:
     _add(
         f"{_name}_bilateral",
-        lambda s, d, n=_name: getattr(bilateral, f"{n}_bilateral")(obs.short(s, d), G),
+        lambda s, d, n=_name: getattr(bilateral, f"{n}_bilateral")(obs.series(s, d), G),
         _with(_pair_cte(_name), final=f"SELECT item, base_month, month, {_r('p', 'index_value')} FROM pairs"),
     )
     if _name != "fisher":
-        _add(f"geks_{_name}", lambda s, d, n=_name: indices.METHODS[f"geks_{n}"](obs.short(s, d), G), _with(_pair_cte(_name), *_GEKS, final=f"SELECT item, month, {_r('v', 'index_value')} FROM geks"))
+        _add(f"geks_{_name}", lambda s, d, n=_name: indices.METHODS[f"geks_{n}"](obs.series(s, d), G), _with(_pair_cte(_name), *_GEKS, final=f"SELECT item, month, {_r('v', 'index_value')} FROM geks"))
     _add(
         f"rygeks_{_name}",
-        lambda s, d, n=_name: indices.METHODS[f"rygeks_{n}"](obs.short(s, d), G, window=WINDOW),
+        lambda s, d, n=_name: indices.METHODS[f"rygeks_{n}"](obs.series(s, d), G, window=WINDOW),
         _with(_pair_cte(_name), *_RYGEKS, final=f"SELECT item, month, {_r('v', 'index_value')} FROM rygeks"),
     )
 

@@ -7,6 +7,7 @@ import pytest
 
 import oracle
 from indexloom.plans import observations, registry
+from test_operators import Brute
 
 SF = "/root/testdata/sf0.001"
 
@@ -64,3 +65,27 @@ def test_geary_khamis_all_periods(spark, observed):
         for end in (months[2], months[len(months) // 2], months[-1]):
             if (item, end) in got:
                 assert math.isclose(got[item, end], geary_khamis([r for r in rows if r[1] <= end])[end], rel_tol=2e-3)
+
+
+@pytest.fixture(scope="module")
+def brute(observed):
+    return Brute([(item, *row) for item, rows in observed.items() for row in rows])
+
+
+PAIRS = [f"{n}_bilateral" for n in ("jevons", "laspeyres", "paasche", "fisher", "tornqvist")]
+GEKS = [f"geks_{n}" for n in ("jevons", "laspeyres", "paasche", "tornqvist")]
+RYGEKS = [f"rygeks_{n}" for n in ("jevons", "laspeyres", "paasche", "fisher", "tornqvist")]
+
+
+@pytest.mark.parametrize("name", PAIRS)
+def test_pairs(spark, brute, name):
+    got = {(r["item"], r["base_month"], r["month"]): r["index_value"] for r in registry.queries()[name](spark, SF).collect()}
+    want = brute.pairs(name.removesuffix("_bilateral"))
+    assert set(got) == set(want) and all(math.isclose(got[k], v, rel_tol=1e-9, abs_tol=1e-6) for k, v in want.items())
+
+
+@pytest.mark.parametrize("name", GEKS + RYGEKS)
+def test_geks(spark, brute, name):
+    got = values(spark, name)
+    want = brute.geks(name.partition("_")[2], registry.WINDOW if name in RYGEKS else None)
+    assert set(got) == set(want) and all(math.isclose(got[k], v, rel_tol=1e-9, abs_tol=1e-6) for k, v in want.items())
