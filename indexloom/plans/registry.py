@@ -187,11 +187,12 @@ _add(
     _with(*_SPENT, final=f"SELECT item, month, product_id, {_r('price', 'price')}, {_r('quantity', 'quantity')} FROM e WHERE filtered = 0"),
 )
 
+# Months of the SQL; the queries show all months.
 _SHOWN = ["1996-01-01", "1996-02-01", "1996-03-01"]
 for _c, _plural in (("price", "prices"), ("quantity", "quantities")):
     _add(
         f"product_by_month_{_plural}",
-        lambda s, d, c=_c: schema.product_by_month(obs.series(s, d), G, c, _SHOWN),
+        lambda s, d, c=_c: schema.product_by_month(obs.series(s, d), G, c),
         _with(final="SELECT item, product_id, " + ", ".join(_r(f"sum({_c}) FILTER (month = DATE '{m}')", f'"{m}"') for m in _SHOWN) + " FROM series GROUP BY item, product_id"),
     )
 

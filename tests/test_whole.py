@@ -89,3 +89,12 @@ def test_geks(spark, brute, name):
     got = values(spark, name)
     want = brute.geks(name.partition("_")[2], registry.WINDOW if name in RYGEKS else None)
     assert set(got) == set(want) and all(math.isclose(got[k], v, rel_tol=1e-9, abs_tol=1e-6) for k, v in want.items())
+
+
+@pytest.mark.parametrize(("name", "at"), [("product_by_month_prices", 2), ("product_by_month_quantities", 3)])
+def test_product_by_month(spark, observed, name, at):
+    df = registry.queries()[name](spark, SF)
+    assert df.columns == ["item", "product_id", *sorted({str(row[1]) for rows in observed.values() for row in rows})]
+    got = {(r["item"], r["product_id"], m): r[m] for r in df.collect() for m in df.columns[2:] if r[m] is not None}
+    want = {(item, row[0], str(row[1])): row[at] for item, rows in observed.items() for row in rows}
+    assert set(got) == set(want) and all(math.isclose(got[k], v, rel_tol=1e-9, abs_tol=1e-6) for k, v in want.items())
