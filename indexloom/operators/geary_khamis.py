@@ -11,29 +11,31 @@ from pyspark.sql import functions as F
 
 from ..functions.schema import cols, one_row_per_product
 
-#: Rounds after which the iteration stops though it hasn't converged.
-MAX_ROUNDS = 1000
+#: Moves below this share of the largest index are rounding, whatever the tolerance.
+ROUNDING = 1e-13
 
 
 def fixed_point(p: np.ndarray, q: np.ndarray, month: np.ndarray, product: np.ndarray, tolerance: float) -> np.ndarray:
     """Index by month number of one group's observations, whose first month is 0.
 
     Reference prices v_i = sum_t q_it / q_i * p_it / P_t and P_t = (V_t / V_0) / (Q_t / Q_0) with Q_t = sum_i v_i q_it,
-    from P = 1 until no index moves by more than ``tolerance``.
+    from P = 1 until no index moves by more than ``tolerance``, however many rounds that takes. 1/P is multiplied by one
+    matrix with a positive diagonal, so that ends; values that overflow are an error.
     """
     n_months, n_products = month.max() + 1, product.max() + 1
     share = q / np.bincount(product, q, n_products)[product]
     value = np.bincount(month, p * q, n_months)
     index = np.ones(n_months)
-    for _ in range(MAX_ROUNDS):
+    while True:
         v = np.bincount(product, share * p / index[month], n_products)
         volume = np.bincount(month, v[product] * q, n_months)
         new = value / value[0] / (volume / volume[0])
-        done = np.abs(new - index).max() <= tolerance
+        if not np.isfinite(new).all():
+            raise ArithmeticError("Geary-Khamis: an index is not finite")
+        done = np.abs(new - index).max() <= max(tolerance, ROUNDING * new.max())
         index = new
         if done:
-            break
-    return index
+            return index
 
 
 def _schema(df: DataFrame, group_cols: Sequence[str], *more: str) -> str:

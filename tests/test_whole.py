@@ -2,10 +2,12 @@
 
 import math
 from collections import defaultdict
+from datetime import date
 
 import pytest
 
 import oracle
+from indexloom.operators import geary_khamis as operator
 from indexloom.plans import observations, registry
 from test_operators import Brute
 
@@ -67,6 +69,15 @@ def test_geary_khamis_all_periods(spark, observed):
                 assert math.isclose(got[item, end], geary_khamis([r for r in rows if r[1] <= end])[end], rel_tol=2e-3)
 
 
+def test_geary_khamis_converges_slowly(spark):
+    """Between two months the index is that of the products they share; the less of those, the more rounds."""
+    rows = [("g", x, date(2020, m, 1), p, q) for x, m, p, q in (("a", 1, 1.0, 100.0), ("b", 2, 1.0, 100.0), ("c", 1, 1.0, 0.1), ("c", 2, 3.0, 0.1))]
+    df = spark.createDataFrame(rows, "g string, product_id string, month date, price double, quantity double")
+    for every in (False, True):
+        got = {r["month"]: r["index_value"] for r in operator.geary_khamis(df, ["g"], every, 1e-9).collect()}
+        assert got[date(2020, 1, 1)] == 1 and math.isclose(got[date(2020, 2, 1)], 3, rel_tol=1e-4)
+
+
 @pytest.fixture(scope="module")
 def brute(observed):
     return Brute([(item, *row) for item, rows in observed.items() for row in rows])
