@@ -70,7 +70,7 @@ _add(
 )
 _add(
     "classify_keywords",
-    lambda s, d: classify.classify_names(obs.quotes(s, d).select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") < 7, F.col("product_name")).alias("product_name")), KEYWORDS),
+    lambda s, d: classify.classify_names(obs.quotes(s, d).select("l_orderkey", "l_linenumber", "product_name"), KEYWORDS),
     _with(
         "n AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber < 7 THEN product_name END AS product_name FROM quotes)",
         final=f"""SELECT l_orderkey, l_linenumber, product_name, CAST(CASE WHEN product_name IS NULL OR list_has_any(regexp_split_to_array(lower(product_name), '\\W+'), {[k.lower() for k in KEYWORDS]})
@@ -362,7 +362,7 @@ _TREE = (
 _add("hierarchy_aggregation", _hierarchy, _with(*_TREE, final=f"SELECT level, node, period, {_r('raw', 'raw')}, {_r('oldwgts', 'oldwgts')} FROM wide"))
 _add(
     "chain_linking",
-    lambda s, d: aggregation.chain_linking(_hierarchy(s, d).where("level > 0").withColumn("oldwgts", F.when(F.month("period") != 6, F.col("oldwgts"))), ["node"]),
+    lambda s, d: aggregation.chain_linking(_hierarchy(s, d).where("level > 0"), ["node"]),
     _with(
         *_TREE,
         "r AS (SELECT node, period, raw, CASE WHEN month(period) <> 6 THEN oldwgts END AS oldwgts FROM wide WHERE level > 0)",

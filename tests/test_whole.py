@@ -1,6 +1,7 @@
 """Registered queries over all months of the tables, against brute force on the price observations that SQL makes."""
 
 import math
+import re
 from collections import defaultdict
 from datetime import date
 
@@ -109,3 +110,13 @@ def test_product_by_month(spark, observed, name, at):
     got = {(r["item"], r["product_id"], m): r[m] for r in df.collect() for m in df.columns[2:] if r[m] is not None}
     want = {(item, row[0], str(row[1])): row[at] for item, rows in observed.items() for row in rows}
     assert set(got) == set(want) and all(math.isclose(got[k], v, rel_tol=1e-9, abs_tol=1e-6) for k, v in want.items())
+
+
+def test_columns_as_they_are(spark, con):
+    names = con.sql(f"WITH {observations.SQL} SELECT l_orderkey, l_linenumber, product_name FROM quotes").fetchall()
+    got = sorted(map(tuple, registry.queries()["classify_keywords"](spark, SF).select("l_orderkey", "l_linenumber", "product_name", "classified").collect()))
+    words = {k.lower() for k in registry.KEYWORDS}
+    assert got == sorted((o, n, x, int(bool(words & set(re.split(r"\W+", x.lower()))))) for o, n, x in names)
+    sql, blank = registry.oracle_sql()["chain_linking"], "CASE WHEN month(period) <> 6 THEN oldwgts END AS oldwgts"
+    assert blank in sql
+    assert oracle.compare(registry.queries()["chain_linking"](spark, SF), con, sql.replace(blank, "oldwgts")) == ""
