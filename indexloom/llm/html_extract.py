@@ -4,160 +4,250 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import common
 
-#: Lines whose text lengths are summed.
+#: Lines whose weights are summed.
 WINDOW_LINES = 3
-#: Characters in a window from which text surges, on pages that mark no article.
-SURGE_CHARS = 80
+#: Weight of a window from which text surges, about a line of prose; and below which it dives.
+SURGE, DIVE = 80.0, 1.0
+#: Weight that a heading, or a line inside the article, has beside its characters.
+MARKED = 30.0
+#: Weight of a character inside boilerplate elements, and outside the article on pages whose article is trusted.
+BOILERPLATE_SHARE, OUTSIDE_SHARE = 0.01, 0.05
+#: Share of the page's prose that article elements must hold to be trusted.
+TRUSTED = 0.5
 
-# Element names of HTML.
-SKIPPED = {"head", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "nav", "header", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu"}
+# Element names of HTML, roles, and words of classes and ids that name boilerplate.
+UNSEEN = {"head", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "button", "select", "textarea"}
 RAW = {"script", "style", "textarea", "noscript", "iframe", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+BOILERPLATE = {"nav", "header", "footer", "aside", "form", "dialog", "menu"}
 ARTICLE = {"article", "main"}
-#: Elements that hold the whole page, whatever their class says, and class prefixes that speak of other elements.
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that hold the whole page, whatever their class says.
 WHOLE = {"html", "body", "main"}
-LAYOUT_PREFIXES = ("no-", "with-", "without-", "has-", "is-")
 BOUNDARY_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 #: Elements that another start tag of the list closes when it was left open.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|signup|sidebar|side|nav\w*|menu\w*|breadcrumbs?|footer|foot|header|masthead|topbar|toolbar|comments?|commentlist|disqus|replies|respond|responses|discussion|related|recommend\w*|share|sharing|social|widget|pagination|pager|login|search)(?=$|[\s_-])",
-    re.I,
-)
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+BOILERPLATE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "sponsored", "promo", "cookie", "cookies", "consent", "notice", "newsletter", "popup", "sidebar", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "masthead", "comments", "commentlist", "comment", "share", "social"}
+LAYOUT_PREFIXES = ("no-", "with-", "without-", "has-", "is-")
+
+_OPEN = re.compile(r"<(?=[a-zA-Z/!?])")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_TO_QUOTE = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_WORD = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _is_boilerplate(attributes: str) -> bool:
+class Line(NamedTuple):
+    """A block of text, its characters in links, and what encloses it."""
+
+    text: str
+    linked: int = 0
+    article: bool = False
+    boilerplate: bool = False
+    heading: bool = False
+
+
+def _says(attributes: str) -> str:
+    """"unseen", "boilerplate" or nothing, by hidden, role, class and id."""
     if "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return ""
+    said = ""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), a or b or c
+        name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" and not value or name == "aria-hidden" and value == "true":
-            return True
-        if name == "role" and value.lower() in BOUNDARY_ROLES:
-            return True
-        if name in ("class", "id") and any(BOILERPLATE.search(x) for x in value.split() if not x.lower().startswith(LAYOUT_PREFIXES)):
-            return True
-    return False
+            return "unseen"
+        if name == "role" and value in BOUNDARY_ROLES:
+            said = "boilerplate"
+        if name in ("class", "id") and any(not BOILERPLATE_WORDS.isdisjoint(_WORD.findall(x)) for x in value.split() if not x.startswith(LAYOUT_PREFIXES)):
+            said = "boilerplate"
+    return said
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters in links, whether inside an article) of each block of the page, markup and boilerplate stripped.
+class _Tags:
+    """Finds tags from left to right; each character is looked at a bounded number of times, whatever is left open."""
 
-    A block ends at any tag that isn't inline. Blocks inside boilerplate elements are left out but leave an empty line,
-    as does a rule. Left open tags end with their parent; end tags that match nothing are skipped.
+    def __init__(self, page: str):
+        self.page = page
+        self.unclosed: set[str] = set()  # quotes that don't come again
+
+    def end(self, at: int) -> int:
+        """Where the tag whose name ends at ``at`` ends: its ``>`` outside quotes, or else the page's end.
+
+        A quote that never closes counts as a plain character.
+        """
+        page, n = self.page, len(self.page)
+        while True:
+            at = _TO_QUOTE.match(page, at).end()
+            if at >= n or page[at] == ">":
+                return at
+            close = -1 if page[at] in self.unclosed else page.find(page[at], at + 1)
+            if close < 0:
+                self.unclosed.add(page[at])
+                at += 1
+            else:
+                at = close + 1
+
+
+def lines(page: str) -> list[Line]:
+    """The blocks of the page, markup and unseen elements stripped, in one pass over it.
+
+    A block ends at any tag that isn't inline; a rule and the end of boilerplate leave an empty line. Left open tags end
+    with their parent; end tags that match nothing are skipped.
     """
-    out: list[tuple[str, int, bool]] = []
+    out: list[Line] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, inside boilerplate, inside an article, inside a link
-    skip = article = link = False
-    linked = 0
+    stack: list[tuple[str, bool, bool, bool, bool, bool]] = [("", False, False, False, False, False)]  # name, unseen, article, boilerplate, heading, link
+    blocks, count = [0], Counter()  # places in the stack of elements that aren't inline; open elements by name
+    linked = dull = size = 0  # characters of the block in links, in boilerplate and in all
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, dull, size
         if text:
             line = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if line:
-                out.append((line, linked, article))
+                _, _, article, _, heading, _ = stack[blocks[-1]]
+                out.append(Line(line, min(linked, len(line)), article, 2 * dull >= size, heading))
             text.clear()
-        linked = 0
+        linked = dull = size = 0
+
+    def unwind(to: int) -> None:
+        was = stack[-1][3]
+        while len(stack) > to:
+            count[stack.pop()[0]] -= 1
+            if blocks[-1] == len(stack):
+                blocks.pop()
+        if was and not stack[-1][3]:
+            out.append(Line(""))
 
-    def state() -> None:
-        nonlocal skip, article, link
-        _, skip, article, link = stack[-1] if stack else ("", False, False, False)
+    def add(part: str) -> None:
+        nonlocal linked, dull, size
+        if part and not stack[-1][1]:
+            text.append(part)
+            size += len(part)
+            dull += len(part) if stack[-1][3] else 0
+            linked += len(part) if stack[-1][5] else 0
 
-    at, n = 0, len(page)
+    tags, at, n = _Tags(page), 0, len(page)
     while at < n:
-        m = _TAG.search(page, at)
-        stop = m.start() if m else n
-        if stop > at and not skip:
-            text.append(page[at:stop])
-            if link:
-                linked += stop - at
-        if not m:
+        begin = _OPEN.search(page, at)
+        if not begin:
+            add(page[at:])
             break
-        at = m.end()
-        if m[2] is None:
-            if m[0].startswith("<![CDATA[") and not skip:
-                text.append(html.escape(m[0][9:].removesuffix("]]>")))
+        start = begin.start()
+        add(page[at:start])
+        if page.startswith("<!--", start):
+            stop = page.find("-->", start + 4)
+            at = n if stop < 0 else stop + 3
+            continue
+        if page.startswith("<![CDATA[", start):
+            stop = page.find("]]>", start)
+            add(html.escape(page[start + 9 : stop if stop >= 0 else n]))
+            at = n if stop < 0 else stop + 3
+            continue
+        if page[start + 1 : start + 2] in ("!", "?"):
+            stop = page.find(">", start)
+            at = n if stop < 0 else stop + 1
             continue
-        name, attributes = m[2].lower(), m[3]
+        ends = page.startswith("/", start + 1)
+        m = _NAME.match(page, start + 1 + ends)
+        if not m:
+            add("<")
+            at = start + 1
+            continue
+        stop = tags.end(m.end())
+        name, attributes, at = m[0].lower(), page[m.end() : stop], stop + 1
         if name == "br":
-            if not skip:
-                text.append(" ")
+            add(" ")
             continue
         if name not in INLINE:
             close()
-        if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    was = skip
-                    del stack[i:]
-                    state()
-                    if was and not skip:
-                        out.append(("", 0, article))
-                    break
+        if ends:
+            if count[name] > 0:
+                to = len(stack) - 1
+                while stack[to][0] != name:
+                    to -= 1
+                unwind(to)
             continue
-        if name in VOID or attributes.endswith("/") and name not in INLINE and name in ("svg", "path"):
-            if name == "hr" and not skip:
-                out.append(("", 0, article))
+        if name in VOID:
+            if name == "hr":
+                out.append(Line(""))
             continue
-        if name in CLOSES:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSES[name]:
-                    del stack[i:]
-                    state()
-                    break
-                if stack[i][0] not in INLINE:
-                    break
-        stack.append((name, skip or name in SKIPPED or name not in WHOLE and _is_boilerplate(attributes), article or name in ARTICLE, link or name == "a"))
-        state()
+        if name in CLOSES and stack[blocks[-1]][0] in CLOSES[name]:
+            unwind(blocks[-1])
+        _, unseen, article, boilerplate, heading, link = stack[-1]
+        says = _says(attributes) if name not in WHOLE else ""
+        unseen = unseen or name in UNSEEN or says == "unseen"
+        boilerplate = boilerplate or name in BOILERPLATE or says == "boilerplate"
+        if name not in INLINE:
+            blocks.append(len(stack))
+        stack.append((name, unseen, article or name in ARTICLE, boilerplate, heading or name in HEADINGS, link or name == "a"))
+        count[name] += 1
         if name in RAW:
             end = re.compile(rf"</{name}\b", re.I).search(page, at)
-            if not skip:
-                text.append(page[at : end.start() if end else n])
-            at = end.start() if end else n
+            stop = end.start() if end else n
+            add(page[at:stop])
+            at = stop
     close()
     return out
 
 
-def main_text(page: str, window: int = WINDOW_LINES, surge: int = SURGE_CHARS) -> str:
+def weights(rows: list[Line]) -> list[float]:
+    """What each line adds to the distribution: its characters outside links, by the elements around it.
+
+    Lines that are mostly links have none. Characters in boilerplate count little. Where article elements hold most of
+    the page's prose, characters outside them count little too and links inside them like others; a heading, and a line
+    inside such an article, has some weight beside its characters. Elsewhere article elements say nothing, so a page
+    whose teasers are articles keeps its body.
+    """
+    free = [len(r.text) - r.linked if 2 * r.linked < len(r.text) else 0 for r in rows]
+    prose = sum(f for r, f in zip(rows, free, strict=True) if not r.boilerplate)
+    inside = sum(f for r, f in zip(rows, free, strict=True) if r.article and not r.boilerplate)
+    trusted = inside and inside >= TRUSTED * prose
+    out = []
+    for r, f in zip(rows, free, strict=True):
+        if r.boilerplate:
+            out.append(BOILERPLATE_SHARE * f)
+        elif trusted:
+            out.append(MARKED + len(r.text) if r.article and r.text else OUTSIDE_SHARE * f)
+        else:
+            out.append(f + MARKED if r.heading and f else float(f))
+    return out
+
+
+def main_text(page: str, window: int = WINDOW_LINES, surge: float = SURGE, dive: float = DIVE) -> str:
     """The text between the surges and dives of the line-block distribution.
 
-    Each line weighs its characters outside links; lines off the article weigh nothing where the page marks one, and so
-    do lines that are mostly links. At line i the distribution is the weight of lines i to i + window - 1. Text surges
-    where it reaches the threshold (any text at all inside a marked article) and dives where a whole window is empty;
-    what has weight between them is kept.
+    At line i the distribution is the weight of lines i to i + window - 1. Text surges at a line where it reaches
+    ``surge`` (or half the page's greatest window, if none does) and that has its part of it, ``surge`` / ``window``, itself;
+    it dives where the distribution falls below ``dive``. Between them lines with that part stay, and so do lighter ones
+    that weigh at least half a unit for each character, which leaves out what stands in boilerplate or off the article.
     """
     rows = lines(page)
-    marked = any(inside and text for text, _, inside in rows)
-    weights = []
-    for text, linked, inside in rows:
-        free = len(text) - linked
-        weights.append(len(text) if marked and inside else 0 if marked or 2 * free < len(text) else free)
-    threshold = 1 if marked else surge
-    total = sum(weights)
-    if not marked and total < threshold:
-        threshold = max(1, total)
+    weight = weights(rows)
     n = len(rows)
-    block = [sum(weights[i : i + window]) for i in range(n)]
-    kept, i = [], 0
+    block = [sum(weight[i : i + window]) for i in range(n)]
+    most = max((block[i] for i in range(n) if rows[i].text and not rows[i].boilerplate), default=0.0)
+    if not most:
+        return ""
+    surge = surge if most >= surge else most / 2
+    kept, i, part = [], 0, surge / window
     while i < n:
-        if block[i] < threshold or not weights[i]:
+        if block[i] < surge or weight[i] < part:
             i += 1
             continue
-        while i < n and block[i]:  # until the dive
-            if weights[i]:
-                kept.append(rows[i][0])
+        while i < n and block[i] >= min(dive, surge):
+            if rows[i].text and (weight[i] >= part or 2 * weight[i] >= len(rows[i].text)):
+                kept.append(rows[i].text)
             i += 1
     return "\n".join(kept)
 
