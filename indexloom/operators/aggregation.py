@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.schema import cols
+from ..sources import tables
 
 
 def weights_table(spark: SparkSession, weights: Mapping) -> DataFrame:
@@ -46,6 +48,23 @@ def with_old_weights(weights: DataFrame) -> DataFrame:
     return weights.withColumn("kind", F.lit("raw")).unionByName(old.withColumn("kind", F.lit("oldwgts")))
 
 
+def hierarchy_inputs(index_weights: DataFrame, items: DataFrame, items_old: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(weights, values, levels) of a hierarchy whose nodes go by indicator, basis and cpa21, and whose items by item_no.
+
+    ``index_weights``: period, parent_level, parent_indicator, parent_basis, parent_cpa21, the same of the child, weight.
+    ``items``: period, indicator, basis, cpa21 of the node above, item_no, imputed_price_relative, rescaled_weight;
+    ``items_old``: the same with imputed_price_relative_oldwgts, by the weights of the month before. Items are level 0
+    under level 1. Weights and values have kind "raw" or "oldwgts", so each later step runs once for both.
+    """
+    above = [f"{side}_{c}" for side in ("parent", "child") for c in ("indicator", "basis", "cpa21")]
+    upper = index_weights.select("period", "parent_level", node_id(*above[:3]).alias("parent_id"), "child_level", node_id(*above[3:]).alias("child_id"), "weight")
+    lower = items.select("period", F.lit(1).alias("parent_level"), node_id("indicator", "basis", "cpa21").alias("parent_id"), F.lit(0).alias("child_level"), F.col("item_no").alias("child_id"), F.col("rescaled_weight").alias("weight"))
+    weights = with_old_weights(upper.unionByName(lower))
+    of = lambda df, column, kind: df.select(F.lit(kind).alias("kind"), "period", F.col("item_no").alias("child_id"), F.col(column).alias("value"))
+    values = of(items, "imputed_price_relative", "raw").unionByName(of(items_old, "imputed_price_relative_oldwgts", "oldwgts"))
+    return weights, values, levels(weights)
+
+
 def levels(weights: DataFrame) -> DataFrame:
     """Each node and its level."""
     parents = weights.select(F.col("parent_level").alias("level"), F.col("parent_id").alias("node"))
@@ -63,18 +82,33 @@ def aggregate_hierarchy(values: DataFrame, weights: DataFrame, n_levels: int) ->
     """``values`` (kind, period, child_id, value) of items and of all nodes above them, level by level.
 
     A level-1 node without any item has 0. The loop is over the levels of the hierarchy, a handful; each adds a join and
-    an aggregation to one lazy plan.
+    an aggregation to one lazy plan. The inputs and each level's nodes are read by all levels above, as a node's children
+    may be of any, so they are kept once computed; ``spark.catalog.clearCache()`` gives them back.
     """
+    values, weights = values.persist(StorageLevel.MEMORY_AND_DISK), weights.persist(StorageLevel.MEMORY_AND_DISK)
     have = level_values(values, weights, 1)
     nodes = weights.where("parent_level = 1").select("kind", "period", F.col("parent_id").alias("child_id")).distinct()
     have = nodes.join(have, ["kind", "period", "child_id"], "left").select("kind", "period", "child_id", F.coalesce("value", F.lit(0.0)).alias("value"))
-    every = [values, have]
+    every = [values, have.persist(StorageLevel.MEMORY_AND_DISK)]
     for level in range(2, n_levels + 1):
         below = reduce(DataFrame.unionByName, every)
-        every.append(level_values(below, weights, level))
+        every.append(level_values(below, weights, level).persist(StorageLevel.MEMORY_AND_DISK))
     return reduce(DataFrame.unionByName, every)
 
 
+def aggregate_tables(spark: SparkSession, index_weights: str, items: str, items_old: str, output: str, n_levels: int = 7) -> DataFrame:
+    """The hierarchy from tables of the metastore to one: inputs, aggregation level by level, output with node parts.
+
+    Returns the output table: level, node, indicator, basis, cpa21 (null for items), period, raw, oldwgts.
+    """
+    weights, values, node_levels = hierarchy_inputs(*(tables.read_table(spark, t) for t in (index_weights, items, items_old)))
+    out = hierarchy_output(aggregate_hierarchy(values, weights, n_levels), node_levels)
+    part = lambda i: F.when(F.col("level") > 0, F.get(F.split("node", "/"), F.lit(i)))
+    out = out.select("level", "node", part(0).alias("indicator"), part(1).alias("basis"), part(2).alias("cpa21"), "period", "raw", "oldwgts")
+    tables.save_table(out, output)
+    return tables.read_table(spark, output)
+
+
 def hierarchy_output(values: DataFrame, node_levels: DataFrame) -> DataFrame:
     """One row per node and period with raw and oldwgts beside each other and the node's level."""
     wide = values.groupBy("child_id", "period").pivot("kind", ["raw", "oldwgts"]).agg(F.first("value"))

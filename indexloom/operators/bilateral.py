@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,47 +31,56 @@ def _formulas() -> dict[str, Column]:
     }
 
 
-def bilateral(df: DataFrame, group_cols: Sequence[str], *formulas: str) -> DataFrame:
+def bilateral(df: DataFrame, group_cols: Sequence[str], *formulas: str, forward: bool = False) -> DataFrame:
     """One column per formula for each pair of months with matched products, from one self-join by product.
 
-    Both sides of the join and the aggregation before it share one partitioning by (group, product).
+    Both sides of the join and the aggregation before it share one partitioning by (group, product). With ``forward``
+    only pairs whose base isn't the later month, which is all that multilateral methods read and half the rows.
     """
     rows = one_row_per_product(df, group_cols)
     keys = [*group_cols, "product_id"]
     left = rows.select(*cols(keys), F.col("month").alias("base_month"), F.col("price").alias("p0"), F.col("quantity").alias("q0"))
     right = rows.select(*cols(keys), "month", F.col("price").alias("p1"), F.col("quantity").alias("q1"))
     known = _formulas()
-    return left.join(right, keys).groupBy(*group_cols, "base_month", "month").agg(*[known[f].alias(f) for f in formulas])
+    pairs = left.join(right, keys)
+    if forward:
+        pairs = pairs.where("base_month <= month")
+    return pairs.groupBy(*group_cols, "base_month", "month").agg(*[known[f].alias(f) for f in formulas])
 
 
-def _one(df: DataFrame, group_cols: Sequence[str], formula: str, same: bool) -> DataFrame:
-    out = bilateral(df, group_cols, formula).withColumnRenamed(formula, "index_value").where("index_value IS NOT NULL")
+def _one(df: DataFrame, group_cols: Sequence[str], formula: str, same: bool, forward: bool) -> DataFrame:
+    out = bilateral(df, group_cols, formula, forward=forward).withColumnRenamed(formula, "index_value").where("index_value IS NOT NULL")
     return out if same else out.where("base_month <> month")
 
 
-def jevons_bilateral(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+def jevons_bilateral(df: DataFrame, group_cols: Sequence[str], forward: bool = False) -> DataFrame:
     """Geometric mean of price relatives, for months that differ."""
-    return _one(df, group_cols, "jevons", False)
+    return _one(df, group_cols, "jevons", False, forward)
 
 
-def laspeyres_bilateral(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    return _one(df, group_cols, "laspeyres", True)
+def laspeyres_bilateral(df: DataFrame, group_cols: Sequence[str], forward: bool = False) -> DataFrame:
+    return _one(df, group_cols, "laspeyres", True, forward)
 
 
-def paasche_bilateral(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    return _one(df, group_cols, "paasche", True)
+def paasche_bilateral(df: DataFrame, group_cols: Sequence[str], forward: bool = False) -> DataFrame:
+    return _one(df, group_cols, "paasche", True, forward)
 
 
-def fisher_bilateral(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    return _one(df, group_cols, "fisher", True)
+def fisher_bilateral(df: DataFrame, group_cols: Sequence[str], forward: bool = False) -> DataFrame:
+    return _one(df, group_cols, "fisher", True, forward)
 
 
-def tornqvist_bilateral(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    return _one(df, group_cols, "tornqvist", True)
+def tornqvist_bilateral(df: DataFrame, group_cols: Sequence[str], forward: bool = False) -> DataFrame:
+    return _one(df, group_cols, "tornqvist", True, forward)
 
 
 def _numbered_pairs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs with a and b, the months' numbers, and ln; the months)."""
+    """(pairs with a and b, the months' numbers, and ln; the months).
+
+    Pairs are a small table (groups times months squared) that is read several times from here on, so it is kept once it
+    is computed; ``spark.catalog.clearCache()`` or its owner's end gives it back.
+    """
+    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
     months = month_index(pairs, "base_month", "month")
     a = months.select(F.col("t").alias("a"), F.col("month").alias("base_month"))
     b = months.select(F.col("t").alias("b"), "month")

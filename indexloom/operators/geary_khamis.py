@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.schema import cols, one_row_per_product
+from ..sources import tables
 
 #: Moves below this share of the largest index are rounding, whatever the tolerance.
 ROUNDING = 1e-13
@@ -76,3 +77,13 @@ def append_back_series(new: DataFrame, back: DataFrame | None, group_cols: Seque
         return last
     keys = [*group_cols, "month"]
     return back.join(last.select(*cols(keys)), keys, "left_anti").unionByName(last)
+
+
+def update_back_series(spark: SparkSession, new: DataFrame, path: str, group_cols: Sequence[str]) -> DataFrame:
+    """The back series stored as CSV under ``path`` (none yet: empty), with each group's last index of ``new``, stored again.
+
+    The merged series is written beside the old one and takes its place when it is whole.
+    """
+    back = tables.read_series(spark, path, _schema(new, group_cols, "month date", "index_value double"))
+    tables.replace_series(spark, append_back_series(new.select(*group_cols, "month", "index_value"), back, group_cols), path)
+    return tables.read_series(spark, path, _schema(new, group_cols, "month date", "index_value double"))

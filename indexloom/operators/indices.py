@@ -12,11 +12,11 @@ from . import bilateral, fixed_base, geary_khamis
 
 
 def _geks(pairs: Callable, df: DataFrame, group_cols: Sequence[str], **_) -> DataFrame:
-    return bilateral.geks(pairs(df, group_cols), group_cols)
+    return bilateral.geks(pairs(df, group_cols, forward=True), group_cols)
 
 
 def _rygeks(pairs: Callable, df: DataFrame, group_cols: Sequence[str], window: int = 13, exponent: int | None = None, **_) -> DataFrame:
-    return bilateral.rygeks(pairs(df, group_cols), group_cols, window, exponent)
+    return bilateral.rygeks(pairs(df, group_cols, forward=True), group_cols, window, exponent)
 
 
 def _plain(method: Callable, df: DataFrame, group_cols: Sequence[str], **_) -> DataFrame:

@@ -19,7 +19,6 @@ quotes AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
 series AS (
   SELECT item, product_id, month, sum(price * quantity) / sum(quantity) AS price, sum(quantity) AS quantity FROM quotes GROUP BY ALL),
-short AS (SELECT * FROM series WHERE month <= DATE '1997-01-01'),
 parts AS (
   SELECT item, part AS product_id, month, sum(price * quantity) / sum(quantity) AS price, sum(quantity) AS quantity FROM quotes GROUP BY ALL)
 """

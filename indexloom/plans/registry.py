@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import schema
 from ..operators import aggregation, analysis, averaging, bilateral, classify, filtering, fixed_base, geary_khamis, imputation, indices, outliers, preprocess
 from . import observations as obs
+from . import scenarios
 
 G = obs.GROUP
 GM = [*G, "month"]
@@ -72,9 +73,8 @@ _add(
     "classify_keywords",
     lambda s, d: classify.classify_names(obs.quotes(s, d).select("l_orderkey", "l_linenumber", "product_name"), KEYWORDS),
     _with(
-        "n AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber < 7 THEN product_name END AS product_name FROM quotes)",
         final=f"""SELECT l_orderkey, l_linenumber, product_name, CAST(CASE WHEN product_name IS NULL OR list_has_any(regexp_split_to_array(lower(product_name), '\\W+'), {[k.lower() for k in KEYWORDS]})
-          THEN 1 ELSE 0 END AS INTEGER) AS classified FROM n""",
+          THEN 1 ELSE 0 END AS INTEGER) AS classified FROM quotes""",
     ),
 )
 
@@ -187,8 +187,8 @@ _add(
     _with(*_SPENT, final=f"SELECT item, month, product_id, {_r('price', 'price')}, {_r('quantity', 'quantity')} FROM e WHERE filtered = 0"),
 )
 
-# Months of the SQL; the queries show all months.
-_SHOWN = ["1996-01-01", "1996-02-01", "1996-03-01"]
+#: The months of the tables' calendar, each of which has quotes; SQL must name its columns, the queries find theirs.
+_SHOWN = [f"{y}-{m:02}-01" for y in range(1995, 2002) for m in range(1, 13)][:83]
 for _c, _plural in (("price", "prices"), ("quantity", "quantities")):
     _add(
         f"product_by_month_{_plural}",
@@ -254,8 +254,7 @@ _PAIRS = {
 
 
 def _pair_cte(name: str) -> str:
-    """Pairs up to January 1997 only; the queries take all months."""
-    return f"pairs AS (SELECT a.item, a.month AS base_month, b.month AS month, {_PAIRS[name]} AS p FROM short a JOIN short b USING (item, product_id) {'WHERE a.month <> b.month' if name == 'jevons' else ''} GROUP BY a.item, a.month, b.month)"
+    return f"pairs AS MATERIALIZED (SELECT a.item, a.month AS base_month, b.month AS month, {_PAIRS[name]} AS p FROM series a JOIN series b USING (item, product_id) {'WHERE a.month <> b.month' if name == 'jevons' else ''} GROUP BY a.item, a.month, b.month)"
 
 
 _GEKS = (
@@ -286,27 +285,38 @@ for _name in _PAIRS:
         _with(_pair_cte(_name), *_RYGEKS, final=f"SELECT item, month, {_r('v', 'index_value')} FROM rygeks"),
     )
 
-# The SQL takes the first five months only, eighty rounds: by then no index moves by the tolerance any more. The queries take all months.
-_GK_END = "1995-05-01"
+# An index of 1/P depends on the month linearly, so the fixed point is iterated on a month by month matrix for each run.
+# A run has the months up to number n; runs stop by themselves when no index moves by more than the tolerance.
+
+
+def _gk_sql(runs: str, tolerance: float, final: str) -> str:
+    return _with(
+        "o AS (SELECT *, dense_rank() OVER (PARTITION BY item ORDER BY month) AS t FROM series)",
+        f"runs AS ({runs})",
+        "y AS MATERIALIZED (SELECT r.item, r.n, o.product_id, o.month, o.t, o.price, o.quantity, o.quantity / sum(o.quantity) OVER (PARTITION BY r.item, r.n, o.product_id) AS share FROM runs r JOIN o ON o.item = r.item AND o.t <= r.n)",
+        "m AS (SELECT item, n, t, any_value(month) AS month, sum(price * quantity) AS value FROM y GROUP BY item, n, t)",
+        "z AS (SELECT a.item, a.n, a.t, b.t AS u, sum(a.quantity * b.share * b.price) AS c FROM y a JOIN y b ON a.item = b.item AND a.n = b.n AND a.product_id = b.product_id GROUP BY a.item, a.n, a.t, b.t)",
+        "zz AS (SELECT m.item, m.n, m.t, list(coalesce(z.c, 0) ORDER BY k.t) AS r FROM m JOIN m k ON m.item = k.item AND m.n = k.n LEFT JOIN z ON z.item = m.item AND z.n = m.n AND z.t = m.t AND z.u = k.t GROUP BY m.item, m.n, m.t)",
+        "k AS MATERIALIZED (SELECT m.item, m.n, list(m.month ORDER BY m.t) AS months, list(value ORDER BY m.t) AS v, list(r ORDER BY m.t) AS rows FROM m JOIN zz USING (item, n, t) GROUP BY m.item, m.n)",
+        f"""it AS (SELECT item, n, 0 AS i, list_transform(v, lambda x: CAST(1 AS DOUBLE)) AS p, CAST(1e9 AS DOUBLE) AS moved FROM k
+          UNION ALL SELECT item, n, i + 1, q, list_max(list_transform(range(1, len(q) + 1), lambda j: abs(q[j] - p[j]))) FROM (
+            SELECT item, n, i, p, list_transform(range(1, len(v) + 1), lambda j: (v[j] / v[1]) / (w[j] / w[1])) AS q FROM (
+              SELECT it.item, it.n, i, p, v, list_transform(rows, lambda r: list_dot_product(r, list_transform(p, lambda e: 1 / e))) AS w FROM it JOIN k ON k.item = it.item AND k.n = it.n WHERE it.moved > {tolerance})))""",
+        recursive=True,
+        final=final.replace("ENDED", "(SELECT item, n, arg_max(p, i) AS p FROM it GROUP BY item, n)"),
+    )
+
+
 _add(
     "geary_khamis",
     lambda s, d: geary_khamis.geary_khamis(obs.series(s, d), G, False, GK_TOLERANCE),
-    _with(
-        f"o AS (SELECT * FROM series WHERE month <= DATE '{_GK_END}')",
-        "y AS (SELECT *, quantity / sum(quantity) OVER (PARTITION BY item, product_id) AS share, dense_rank() OVER (PARTITION BY item ORDER BY month) AS t FROM o)",
-        "m AS (SELECT item, t, any_value(month) AS month, sum(price * quantity) AS value FROM y GROUP BY item, t)",
-        # How an index of 1/P depends on the month: the fixed point is linear in 1/P, so it is iterated on a month by month matrix.
-        "z AS (SELECT a.item, a.t AS t, b.t AS u, sum(a.quantity * b.share * b.price) AS c FROM y a JOIN y b ON a.item = b.item AND a.product_id = b.product_id GROUP BY a.item, a.t, b.t)",
-        "k AS (SELECT item, max(t) AS n, list(t ORDER BY t) AS ts, list(month ORDER BY t) AS months, list(value ORDER BY t) AS v FROM m GROUP BY item)",
-        "zz AS (SELECT item, list(r ORDER BY t) AS rows FROM (SELECT item, t, list(c ORDER BY u) AS r FROM z GROUP BY item, t) GROUP BY item)",
-        """it AS (SELECT item, 0 AS i, list_transform(ts, lambda x: CAST(1 AS DOUBLE)) AS p, v, rows, months FROM k JOIN zz USING (item)
-          UNION ALL SELECT item, i + 1, list_transform(range(1, len(v) + 1), lambda q: (v[q] / v[1]) / (list_dot_product(rows[q], list_transform(p, lambda e: 1 / e)) / list_dot_product(rows[1], list_transform(p, lambda e: 1 / e)))), v, rows, months
-          FROM it WHERE i < 80)""",
-        recursive=True,
-        final=f"SELECT item, unnest(months) AS month, {_r('unnest(p)', 'index_value')} FROM it WHERE i = 80",
-    ),
+    _gk_sql("SELECT item, max(t) AS n FROM o GROUP BY item", GK_TOLERANCE, f"SELECT item, unnest(months) AS month, {_r('unnest(p)', 'index_value')} FROM ENDED JOIN k USING (item, n)"),
+)
+_add(
+    "geary_khamis_all_periods",
+    lambda s, d: geary_khamis.geary_khamis(obs.series(s, d), G, True),
+    _gk_sql("SELECT DISTINCT item, t AS n FROM o", 1e-5, f"SELECT item, months[-1] AS month, {_r('p[-1]', 'index_value')} FROM ENDED JOIN k USING (item, n)"),
 )
-_add("geary_khamis_all_periods", lambda s, d: geary_khamis.geary_khamis(obs.series(s, d), G, True))
 
 
 def _retailer_jevons(s: SparkSession, d: str) -> DataFrame:
@@ -365,7 +375,7 @@ _add(
     lambda s, d: aggregation.chain_linking(_hierarchy(s, d).where("level > 0"), ["node"]),
     _with(
         *_TREE,
-        "r AS (SELECT node, period, raw, CASE WHEN month(period) <> 6 THEN oldwgts END AS oldwgts FROM wide WHERE level > 0)",
+        "r AS (SELECT node, period, raw, oldwgts FROM wide WHERE level > 0)",
         "f AS (SELECT *, CASE WHEN period = (SELECT min(period) FROM r) THEN 1 ELSE nullif(oldwgts, 0) / nullif(raw, 0) END AS f FROM r)",
         "c AS (SELECT *, exp(sum(ln(coalesce(f, 1))) OVER (PARTITION BY node ORDER BY period ROWS UNBOUNDED PRECEDING)) AS c FROM f)",
         "l AS (SELECT *, c / coalesce(last_value(CASE WHEN f IS NULL THEN c END IGNORE NULLS) OVER (PARTITION BY node ORDER BY period ROWS UNBOUNDED PRECEDING), 1) AS lf FROM c)",
@@ -424,6 +434,9 @@ _add(
 )
 
 
+scenarios.register(_add, _r)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -116,3 +116,23 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def read_series(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A series stored as CSV with header, or None if there is none."""
+    fs, p = _file_system(spark, path)
+    return spark.read.csv(path, header=True, schema=schema) if fs.exists(p) else None
+
+
+def replace_series(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Writes ``df`` (which may read ``path``) as CSV beside ``path`` and moves it there."""
+    df.write.mode("overwrite").csv(f"{path}.next", header=True)
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+    if not fs.rename(_file_system(spark, f"{path}.next")[1], p):
+        raise OSError(f"can't move {path}.next to {path}")

@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 
 from indexloom.functions import schema
-from indexloom.operators import analysis
+from indexloom.operators import aggregation, analysis, geary_khamis
 from indexloom.plans import observations, pipeline
 from indexloom.plans.config import ConfigError, Indices, Outliers, Scenario
 from indexloom.sources import tables
@@ -101,3 +101,35 @@ def test_find_in_configuration(spark):
     assert schema.find("NATION_1", WEB) == [0.5]
     rows = {r["stage"]: r["params"] for r in tables.configuration_table(spark, {"filter": True, "k": {"x": 1}}).collect()}
     assert rows == {"filter": "true", "k": '{"x": 1}'}
+
+
+def test_back_series(spark, tmp_path):
+    """The last index of each run is kept; earlier ones are never revised, a month that comes again is."""
+    path = str(tmp_path / "back")
+    schema = "item string, month date, index_value double"
+    months = [date(2020, m, 1) for m in (1, 2, 3)]
+    first = spark.createDataFrame([("a", months[0], 1.0), ("a", months[1], 1.25), ("b", months[0], 1.0)], schema)
+    got = geary_khamis.update_back_series(spark, first, path, ["item"])
+    assert sorted(map(tuple, got.collect())) == [("a", months[1], 1.25), ("b", months[0], 1.0)]
+    second = spark.createDataFrame([("a", months[1], 9.0), ("a", months[2], 1.5), ("b", months[0], 0.5)], schema)
+    got = geary_khamis.update_back_series(spark, second, path, ["item"])
+    assert sorted(map(tuple, got.collect())) == [("a", months[1], 1.25), ("a", months[2], 1.5), ("b", months[0], 0.5)]
+
+
+def test_hierarchy_from_tables(spark):
+    """Items under two nodes under a top node, over two periods; old weights are those of the period before."""
+    node = lambda c: ("i", "b", c)
+    weights = [(p, 2, *node("top"), 1, *node(c), w) for p, c, w in ((1, "x", 60.0), (1, "y", 40.0), (2, "x", 50.0), (2, "y", 50.0))]
+    names = ["parent_indicator", "parent_basis", "parent_cpa21"], ["child_indicator", "child_basis", "child_cpa21"]
+    spark.createDataFrame(weights, ["period", "parent_level", *names[0], "child_level", *names[1], "weight"]).write.mode("overwrite").saveAsTable("h_weights")
+    items = [(p, *node(c), n, v, w) for p, c, n, v, w in ((1, "x", "x1", 100.0, 70.0), (1, "x", "x2", 110.0, 30.0), (2, "x", "x1", 120.0, 50.0), (2, "x", "x2", 130.0, 50.0), (1, "y", "y1", 100.0, 100.0), (2, "y", "y1", 90.0, 100.0))]
+    frame = spark.createDataFrame(items, ["period", "indicator", "basis", "cpa21", "item_no", "imputed_price_relative", "rescaled_weight"])
+    frame.write.mode("overwrite").saveAsTable("h_items")
+    frame.withColumnRenamed("imputed_price_relative", "imputed_price_relative_oldwgts").write.mode("overwrite").saveAsTable("h_old")
+    got = {(r["node"], r["period"]): r for r in aggregation.aggregate_tables(spark, "h_weights", "h_items", "h_old", "h_out", 2).collect()}
+    assert [got["i/b/x", 1]["raw"], got["i/b/x", 2]["raw"], got["i/b/top", 1]["raw"], got["i/b/top", 2]["raw"]] == pytest.approx([103, 125, 0.6 * 103 + 40, 62.5 + 45])
+    assert [got["i/b/x", 2]["oldwgts"], got["i/b/top", 2]["oldwgts"]] == pytest.approx([0.7 * 120 + 0.3 * 130, 0.6 * 123 + 0.4 * 90])
+    top, item = got["i/b/top", 2], got["x1", 1]
+    assert (top["level"], top["indicator"], top["basis"], top["cpa21"]) == (2, "i", "b", "top") and (item["level"], item["indicator"], item["raw"]) == (0, None, 100.0)
+    for t in ("h_weights", "h_items", "h_old", "h_out"):
+        spark.sql(f"DROP TABLE {t}")
