@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
+import re
 import sys
 import tempfile
 import uuid
@@ -12,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -22,12 +23,13 @@ MASK64 = (1 << 64) - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; where unset (tests) a local one of our own."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Only a local master may leave it unset (tests), and has a local one then."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"file://{tempfile.gettempdir()}/indexloom-shared"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not re.fullmatch(r"local(\[[\d*, ]+\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"file://{tempfile.gettempdir()}/indexloom-shared"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -53,18 +55,25 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *steps: str) -> None:
-        for step in steps:
+        for step in list(steps):
             remove_path(self.spark, self.paths.pop(step))
 
+    def only(self, df: DataFrame) -> DataFrame:
+        """``df`` as a table, all other tables dropped: what an operator returns."""
+        kept = self.table(df, "only")
+        self.drop(*(step for step in list(self.paths) if step != "only"))
+        return kept
+
 
 # ---------------------------------------------------------------- documents
 
-#: Bytes of an Arrow batch on its way to Python, where the session has Spark's default; whole batches of long texts are large.
+#: Bytes of an Arrow batch on its way to Python (or one longer row), where the session has Spark's default. The executor keeps what batches took outside its heap, so large ones add up.
 BATCH_BYTES = 8 << 20
 _BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def bounded_batches(df: DataFrame) -> None:
+    """Has the session send smaller Arrow batches, unless it was told a size; the setting stays, as plans are lazy."""
     conf = df.sparkSession.conf
     if conf.get(_BATCH_CONF, None) == _BATCH_DEFAULT:
         conf.set(_BATCH_CONF, f"{BATCH_BYTES}b")
@@ -83,8 +92,8 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, max_bytes: int = 4 << 20, text_col: str = "text") -> DataFrame:
-    """``fn`` over slices of Arrow batches that hold about ``max_bytes`` of ``text_col`` (or one longer text)."""
+def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, max_bytes: int = 1 << 20, text_col: str = "text", after: Callable[[], None] = lambda: None) -> DataFrame:
+    """``fn`` over slices of Arrow batches that hold about ``max_bytes`` of ``text_col`` (or one longer text); ``after`` at a task's end."""
 
     bounded_batches(df)
 
@@ -92,6 +101,7 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sche
         for batch in batches:
             for piece in slices(batch, text_col, max_bytes):
                 yield fn(piece)
+        after()
         release()
 
     return df.mapInArrow(run, schema)
@@ -211,44 +221,81 @@ def shingles(words: np.ndarray, doc_of: np.ndarray, n_docs: int, k: int) -> tupl
 # ---------------------------------------------------------------- filters of bounded size
 
 
-def bloom_bits(ids: DataFrame, col: str, log2_bits: int = 23) -> np.ndarray:
-    """A one-hash Bloom filter of ``col`` (a long) as 2**log2_bits bits: 1 MB by default, whatever the input.
+def bloom_bits(rows: DataFrame, slot: Column, log2_bits: int) -> np.ndarray:
+    """A one-hash Bloom filter of ``slot`` (a hash of the key, as a long) as 2**log2_bits bits.
 
     A member always passes; a full filter passes everything. It only saves shuffling, results don't depend on it.
     """
-    words = ids.select(F.xxhash64(col).alias("h")).selectExpr(f"shiftright(h & {(1 << log2_bits) - 1}L, 6) AS w", "shiftleft(1L, CAST(h & 63 AS INT)) AS b")
-    rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    words = rows.select(slot.alias("h")).selectExpr(f"shiftright(h & {(1 << log2_bits) - 1}L, 6) AS w", "shiftleft(1L, CAST(h & 63 AS INT)) AS b")
+    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
     bits = np.zeros(1 << (log2_bits - 6), np.int64)
-    bits[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64)
+    bits[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64)
     return bits
 
 
+def filter_size(n: int) -> int:
+    """log2_bits for ``n`` members: eight bits each, 128 KB to 32 MB in all. Beyond 2**28 / 8 members more and more others pass."""
+    return max(20, min(28, (8 * n).bit_length()))
+
+
 def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which of the xxhash64 values (int64) are in the filter."""
+    """Which of the hashes (int64) are in the filter."""
     slot = hashes & (len(bits) * 64 - 1)
     return ((bits[slot >> 6] >> (slot & 63)) & 1).astype(bool)
 
 
-def maybe_in(df: DataFrame, col: str, bits: np.ndarray) -> DataFrame:
-    """Rows whose ``col`` (a long) may be in the filter of :func:`bloom_bits`."""
-    names = df.columns
-    bounded_batches(df)
+def may_be_in(spark: SparkSession, bits: np.ndarray, slot: Column) -> Column:
+    """:func:`passes` inside the JVM: the filter is the value of a scalar subquery."""
+    table = pa.table({"bits": pa.array([bits], pa.list_(pa.int64()))})
+    words = spark.createDataFrame(table).scalar()
+    word = F.get(words, F.shiftright(slot.bitwiseAND(F.lit(len(bits) * 64 - 1)), 6).cast("int"))
+    return F.getbit(word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+#: Ids of a list that is broadcast; 16 bytes each.
+FEW_IDS = 1 << 20
 
-    def run(batches):
-        for b in batches:
-            hit = passes(bits, b.column(len(names)).to_numpy(zero_copy_only=False))
-            if hit.any():
-                yield b.select(names).filter(pa.array(hit))
-        release()
 
-    return df.withColumn("__slot", F.xxhash64(col)).mapInArrow(run, df.schema)
+def without_ids(spark: SparkSession, rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` isn't in ``gone`` (one column, doc_id; distinct, a written table), null keys included.
+
+    A list of at most FEW_IDS is broadcast. Beyond that a filter passes on rows that surely stay where they are read,
+    and only the others are shuffled to meet the list.
+    """
+    n = gone.count()
+    gone = gone.select(F.col("doc_id").alias(key))
+    if n <= FEW_IDS:
+        return rows.join(F.broadcast(gone), key, "left_anti").select(rows.columns)
+    slot = F.xxhash64(F.col(key).cast("long"))
+    hit = may_be_in(spark, bloom_bits(gone, F.xxhash64(key), filter_size(n)), slot)
+    return rows.where(~hit).unionByName(rows.where(hit).join(gone, key, "left_anti").select(rows.columns))
+
+
+def drop_rows(spark: SparkSession, docs: DataFrame, decide: Callable[[DataFrame], DataFrame], nulls_last: bool, name: str) -> DataFrame:
+    """The rows of ``docs`` that ``decide`` keeps: it gets (doc_id, text) and returns rows with doc_id and kept.
+
+    Where ids are null or repeat, rows are decided one by one under ids of their own, in the order of doc_id (nulls
+    first or last) and text; so no row goes for another row's text, and of equal rows one stays.
+    """
+    scratch = Scratch(spark, name)
+    if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").take(1):
+        gone = scratch.table(decide(docs.select("doc_id", "text")).where("NOT kept").select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "gone")
+        return without_ids(spark, docs, gone, "doc_id")
+    own = "row_id"
+    while own in docs.columns:
+        own += "_"
+    order = [F.col("doc_id").asc_nulls_last() if nulls_last else F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    numbered = scratch.table(docs.repartitionByRange(*order).sortWithinPartitions(*order, "text").withColumn(own, F.monotonically_increasing_id()), "numbered")
+    gone = scratch.table(decide(numbered.select(F.col(own).alias("doc_id"), "text")).where("NOT kept").select("doc_id"), "gone")
+    return without_ids(spark, numbered, gone, own).select(docs.columns)
 
 
 # ---------------------------------------------------------------- connected components
 
 
-def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
-    """(node, component): the smallest node reachable over ``edges`` (a, b), for every node that has an edge.
+def components(spark: SparkSession, edges: DataFrame, keep: Scratch, name: str) -> DataFrame:
+    """(node, component): the smallest node reachable over ``edges`` (a, b), for every node that has an edge, as table
+    ``name`` of ``keep``.
 
     Contraction by rounds: each component hooks onto its smallest neighbour, chains of hooks are followed to their
     end, edges are renamed and those inside a component go, until none is left (a star takes two rounds at most, a chain
@@ -286,6 +333,6 @@ def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
         left = scratch.table(renamed, f"e{step + 1}")
         scratch.drop(f"h{step}.{hop}", f"e{step}", *([f"l{step - 1}"] if step else []))
         labels, edges, step = new, left, step + 1
-    if labels is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return labels
+    kept = keep.table(labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component")), name)
+    scratch.drop(*scratch.paths)
+    return kept

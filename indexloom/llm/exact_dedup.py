@@ -2,38 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
+from string import ascii_lowercase, ascii_uppercase
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .common import LOWER, Scratch
+from .common import Scratch
 
-#: Bytes of the normalised text that the second key covers.
-PREFIX_BYTES = 64
-
-
-def _keys(docs: DataFrame, digests: bool, among: np.ndarray | None = None) -> DataFrame:
-    """doc_id, n_bytes, prefix and (if asked for) the full digest of the text with A-Z lower-cased.
-
-    Of all rows, or of those whose id may be in the filter ``among``.
-    """
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if among is not None:
-            batch = batch.filter(pa.array(common.passes(among, batch.column("slot").to_numpy(zero_copy_only=False))))
-        data, offsets = common.text_bytes(batch.column("text"))
-        raw = memoryview(LOWER[data].tobytes())
-        spans = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
-        prefix = [int.from_bytes(hashlib.blake2b(raw[a : min(b, a + PREFIX_BYTES)], digest_size=8).digest(), "little", signed=True) for a, b in spans]
-        full = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in spans] if digests else [None] * len(spans)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([b - a for a, b in spans], pa.int64()), pa.array(prefix, pa.int64()), pa.array(full, pa.string())], ["doc_id", "n_bytes", "prefix", "digest"])
-
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("slot", F.xxhash64("doc_id"))
-    return common.map_text(slim, run, "doc_id long, n_bytes long, prefix long, digest string")
+#: Characters of the normalised text that the second key covers.
+PREFIX = 64
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, digests: bool = True) -> DataFrame:
@@ -42,32 +20,36 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, digests: bool = True) -> D
     Texts are equal when they are identical after lower-casing A-Z; a null text is empty, and empty texts are equal.
     Of a group the largest doc_id stays. Lengths that occur once are groups of one without another look; so are
     (length, prefix) pairs that occur once; only the rest is grouped by the full digest. With ``digests`` False only
-    texts that survive the first two steps are read again and hashed in full, and text_sha256 is null for the others.
+    texts that survive the first two steps are normalised and hashed in full, and text_sha256 is null for the others.
 
     Rows that share a doc_id and a text count each in group_size and are all ``kept`` if that id stays. A null doc_id
     never stays in a group that has another id; alone its keep_id is null and it is kept. An empty table gives no rows.
 
-    Only keys are shuffled. Groups are counted by partial aggregation, and the joins that bring the counts back are
-    plain equi-joins, whose large partitions adaptive execution splits; no group is gathered in one task.
+    All in the JVM, and only keys are shuffled. Groups are counted by partial aggregation, and the join that brings the
+    counts back is a plain equi-join, whose large partitions adaptive execution splits; no group is gathered in one task.
+    What the result reads is one table; all others are deleted.
     """
     scratch = Scratch(spark, "exact")
-    keys = scratch.table(_keys(docs, digests).withColumn("k2", F.xxhash64("n_bytes", "prefix")), "keys")
-    lengths = keys.groupBy("n_bytes").count().where("count > 1").select("n_bytes")
-    prefixes = keys.join(lengths, "n_bytes", "left_semi").groupBy("k2").count().where("count > 1").select("k2")
-    rest = keys.join(scratch.table(prefixes, "prefixes"), "k2", "left_semi")  # written, so that both sides are plain shuffles
-    if not digests:
-        rest = scratch.table(rest.select("doc_id", "n_bytes", "prefix"), "rest")
-        full = _keys(docs, True, common.bloom_bits(rest, "doc_id")).withColumn("k2", F.xxhash64("n_bytes", "prefix")).select("doc_id", "n_bytes", "prefix", F.col("digest").alias("full")).distinct()
-        full = full.select(F.col("doc_id").alias("d"), F.col("n_bytes").alias("b"), F.col("prefix").alias("p"), "full")
-        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("n_bytes") == F.col("b")) & (F.col("prefix") == F.col("p"))
-        keyed = keys.drop("digest").join(full, same, "left").select("doc_id", "n_bytes", "prefix", "k2", F.col("full").alias("digest"))
-        keys = scratch.table(keyed, "keyed")
-        rest = keys.where("digest is not null")
-    groups = rest.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    return keys.join(scratch.table(groups, "groups"), "digest", "left").select(
-        "doc_id",
-        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.when(F.col("group_size").isNull(), F.lit(True)).otherwise(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
-        F.col("digest").alias("text_sha256"),
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lower = lambda c: F.translate(c, ascii_uppercase, ascii_lowercase)
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).alias("n_bytes"), F.xxhash64(lower(F.substring(text, 1, PREFIX))).alias("prefix"), text.alias("text"))
+    key = F.xxhash64("n_bytes", "prefix")
+    digest = F.sha2(lower(F.col("text")).cast("binary"), 256)
+    if digests:
+        keyed = scratch.table(keyed.select("doc_id", "n_bytes", "prefix", digest.alias("digest")), "keys")
+    short = scratch.table(keyed.select("n_bytes", "prefix"), "short") if not digests else keyed
+    lengths = short.groupBy("n_bytes").count().where("count > 1").select("n_bytes")
+    prefixes = short.join(scratch.table(lengths, "lengths"), "n_bytes", "left_semi").groupBy("n_bytes", "prefix").count().where("count > 1").select(key.alias("k2"))
+    prefixes = scratch.table(prefixes, "prefixes")
+    hit = common.may_be_in(spark, common.bloom_bits(prefixes, F.col("k2"), common.filter_size(prefixes.count())), key)
+    rows = scratch.table(keyed.select("doc_id", F.col("digest") if digests else F.when(hit, digest).alias("digest"), hit.alias("again")), "rows")
+    groups = rows.where("again").groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    return scratch.only(
+        rows.join(scratch.table(groups, "groups"), "digest", "left").select(
+            "doc_id",
+            F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+            F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+            F.when(F.col("group_size").isNull(), F.lit(True)).otherwise(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+            F.col("digest").alias("text_sha256"),
+        )
     )

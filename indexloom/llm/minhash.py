@@ -19,10 +19,8 @@ SLOTS, ROWS = 128, 4
 CHUNK = 1 << 16
 #: A pair is read in full if its signatures agree this far below the similarity it is looked at for (over five deviations).
 SLACK = 0.2
-#: Buckets with more members far from their hub than this take another hub, HUBS times at most.
-FAR, HUBS = 64, 3
-#: Members of a chunk of a hub's group or of a bucket; chunks meet two by two, so a task holds at most two.
-CHUNK_MEMBERS = 2048
+#: Members and shingles of a chunk of a hub's group or of a bucket; chunks meet two by two, so a task holds two of them.
+CHUNK_MEMBERS, CHUNK_SHINGLES = 2048, 1 << 19
 
 
 def superminhash(elements: np.ndarray, doc_of: np.ndarray, n_docs: int, slots: int = SLOTS) -> np.ndarray:
@@ -87,6 +85,15 @@ def doc_shingles(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]
     return common.shingles(common.hash_spans(data, starts, lengths), doc_of, batch.num_rows, k)
 
 
+def set_names(h: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Two order-free sums over the hashes of each set, which with its size name it."""
+    sums = []
+    for salt in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB):
+        total = np.r_[U64(0), np.cumsum(mix(h ^ U64(salt)), dtype=U64)]
+        sums.append((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
+    return sums
+
+
 def sketch(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n_shingles, two order-free sums that name the set, and the bands (null for an empty set)."""
 
@@ -94,10 +101,7 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
         h, d = doc_shingles(batch, k)
         n = batch.num_rows
         bounds = common.doc_starts(d, n)
-        sums = []
-        for salt in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB):
-            total = np.r_[U64(0), np.cumsum(mix(h ^ U64(salt)), dtype=U64)]
-            sums.append((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
+        sums = set_names(h, bounds)
         counts = np.diff(bounds)
         keys = bands(superminhash(h, d, n))
         width = keys.shape[1]
@@ -122,7 +126,7 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, percent: float) -> DataFrame:
             if near.any():
                 yield b.select(["a", "b"]).filter(pa.array(near))
 
-    of = lambda c: reps.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("bands").alias(f"b{c}"))
+    of = lambda c: reps.select(F.col("c").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("bands").alias(f"b{c}"))
     joined = pairs.join(of("a"), "a").join(of("b"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     return joined.select("a", "b", "ba", "bb").mapInArrow(run, "a long, b long")
 
@@ -142,106 +146,198 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: float, near: float) ->
             rows = pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(at_least[1])], ["a", "b", "linked"])
             yield rows.filter(pa.array(at_least[0]))
 
-    of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}"))
+    of = lambda c: sets.select(F.col("c").alias(c), F.col("shingles").alias(f"s{c}"))
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, linked boolean")
 
 
 def _chunked(rows: DataFrame, key: str, scratch: Scratch, step: str, keep: str = "true") -> DataFrame:
-    """``rows`` in chunk pairs (key, i, j) of at most twice CHUNK_MEMBERS, for keys for which ``keep`` (an aggregate) holds."""
-    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / CHUNK_MEMBERS).cast("int").alias("chunks"), F.expr(keep).alias("keep")).where("keep").drop("keep")
-    dealt = rows.join(scratch.table(sizes, f"{step}-sizes"), key).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("chunks", "other")
+    """``rows`` (with n_shingles) in chunk pairs (key, i, j) for keys for which ``keep`` (an aggregate) holds.
 
+    A chunk has about CHUNK_MEMBERS members and CHUNK_SHINGLES shingles at most, or one larger set.
+    """
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK_MEMBERS, F.sum("n_shingles") / CHUNK_SHINGLES)).cast("int")
+    sizes = rows.groupBy(key).agg(parts.alias("chunks"), F.expr(keep).alias("keep")).where("keep").drop("keep")
+    dealt = rows.join(scratch.table(sizes, f"{step}-sizes"), key).withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("chunks", "other", "n_shingles")
 
-def _within_groups(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the near members of a hub and its other members, as forests.
 
-    Rows are (hub, i, j, chunk, rep, linked, shingles). Intersections are exact: only shingles that two members have are
-    counted, one near member against all at a time, so no pair leaves the task.
+def _forest(rows: DataFrame, key: str, percent: int) -> DataFrame:
+    """Links (a, b) of chunk pairs between their probes and other members, as forests over components.
+
+    Rows are (key, i, j, chunk, c, comp, probe, shingles). A pair is looked at unless both are probes or members of one
+    component by then. Intersections are exact: one probe is counted against all members at a time, no pair leaves the
+    task, and a link comes out only where it joins two components.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         apart = rows["i"].iloc[0] != rows["j"].iloc[0]
-        ids, linked, chunk = rows["rep"].to_numpy(), rows["linked"].to_numpy(bool), rows["chunk"].to_numpy()
+        rows = rows.sort_values("c")
+        ids, probe, chunk = rows["c"].to_numpy(), rows["probe"].to_numpy(bool), rows["chunk"].to_numpy()
+        comp = np.unique(rows["comp"].to_numpy(), return_inverse=True)[1]
         sets = [np.frombuffer(x, np.int64) for x in rows["shingles"]]
         sizes = np.array([len(x) for x in sets])
         cuts = np.cumsum(sizes) - sizes
         _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        mark = np.zeros(len(count), np.int32)
+        mark = np.zeros(len(count), bool)
         out = []
-        for s in np.flatnonzero(~linked).tolist():
+        for s in np.flatnonzero(probe).tolist():
+            if (comp == comp[s]).all():
+                continue
             own = place[cuts[s] : cuts[s] + sizes[s]]
-            mark[own] = 1
-            shared = np.add.reduceat(mark[place], cuts)
-            mark[own] = 0
-            yes = 100 * shared >= percent * (sizes + sizes[s] - shared)
+            mark[own] = True
+            shared = np.add.reduceat(mark[place], cuts, dtype=np.int64)
+            mark[own] = False
+            yes = (100 * shared >= percent * (sizes + sizes[s] - shared)) & (comp != comp[s])
             if apart:
                 yes &= chunk != chunk[s]
-            yes[s] = False
-            hit = ids[yes]
-            if yes[linked].any():  # all of these are linked with the hub
-                out.append((ids[s], ids[yes & linked].min()))
-                hit = ids[yes & ~linked]
-            out += [(ids[s], x) for x in hit.tolist() if x < ids[s] or apart]
+            for t in np.flatnonzero(yes).tolist():
+                if comp[t] != comp[s]:
+                    out.append((ids[s], ids[t]))
+                    comp[comp == comp[t]] = comp[s]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("hub", "i", "j").applyInPandas(run, "a long, b long")
+    return rows.groupBy(key, "i", "j").applyInPandas(run, "a long, b long")
 
 
-def _far_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket with a member far from its hub whose signatures come near the similarity.
+def _far_members(rows: DataFrame, percent: int) -> DataFrame:
+    """Members (bucket, c, comp, far) of a pair with a member far from its hub whose signatures come near the similarity.
 
-    Rows are (bucket, band, i, j, chunk, rep, far, bands). A pair is taken in the first band that it shares.
+    Rows are (bucket, band, i, j, chunk, c, comp, far, bands). A pair is taken in the first band that it shares, if its
+    components differ. Pairs stay in the task.
     """
     least = int((percent / 100 - SLACK) * SLOTS)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         apart, band = rows["i"].iloc[0] != rows["j"].iloc[0], int(rows["band"].iloc[0])
-        rows = rows.sort_values("rep")
-        ids, far, chunk = rows["rep"].to_numpy(), rows["far"].to_numpy(bool), rows["chunk"].to_numpy()
-        lanes = _lanes(rows["bands"])
+        comp, far, chunk = rows["comp"].to_numpy(), rows["far"].to_numpy(bool), rows["chunk"].to_numpy()
+        lanes = np.stack([np.asarray(x) for x in rows["bands"]]).view("<u2")
         keys = lanes.view("<i8")
-        out = []
-        for s in range(1, len(ids)):
-            ok = (far[:s] | far[s]) & ~(keys[:s, :band] == keys[s, :band]).any(axis=1)
+        hit = np.zeros(len(rows), bool)
+        for s in np.flatnonzero(far).tolist():
+            ok = (comp != comp[s]) & ~(keys[:, :band] == keys[s, :band]).any(axis=1)
             if apart:
-                ok &= chunk[:s] != chunk[s]
+                ok &= chunk != chunk[s]
             at = np.flatnonzero(ok)
             at = at[(lanes[at] == lanes[s]).sum(axis=1) >= least]
-            out += [(x, ids[s]) for x in ids[at].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long")
-
-
-def _common_hubs(members: DataFrame, hubs: DataFrame, scratch: Scratch, turn: int) -> DataFrame:
-    """(bucket, hub) with few hubs in all: the favourite of a bucket's members, whose own favourite is the hub of most of their buckets.
-
-    A hub needn't be in the bucket, what it tells about pairs holds anyway; near copies, which share many buckets, get
-    one hub instead of one for each of their buckets.
+            if len(at):
+                hit[at] = hit[s] = True
+        return rows.loc[hit, ["bucket", "c", "comp", "far"]]
+
+    return rows.groupBy("bucket", "i", "j").applyInPandas(run, "bucket long, c long, comp long, far boolean")
+
+
+class _Sets:
+    """The full shingle sets of classes, written as they are first asked for: (c, shingles), sorted 64-bit hashes."""
+
+    def __init__(self, docs: DataFrame, reps: DataFrame, k: int, repeated: bool, scratch: Scratch):
+        self.docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("slot", F.xxhash64("doc_id"))
+        self.reps, self.k, self.repeated, self.scratch = reps, k, repeated, scratch
+        self.parts: list[DataFrame] = []
+
+    def with_(self, ids: DataFrame) -> DataFrame:
+        """All sets so far and those of ``ids`` (c, distinct); texts are read again only for new ones."""
+        for part in self.parts:
+            ids = ids.join(part.select("c"), "c", "left_anti")
+        step = f"sets{len(self.parts)}"
+        new = self.scratch.table(ids.join(self.reps.select("c", "rep", "n_shingles", "s1", "s2"), "c"), f"{step}-of")
+        n = new.count()
+        if n or not self.parts:
+            rows = self._read(common.bloom_bits(new, F.xxhash64("rep"), common.filter_size(n)))
+            if self.repeated:  # a doc_id may have several texts, and a text several rows
+                key = ["rep", "n_shingles", "s1", "s2"]
+                rows = rows.withColumnRenamed("doc_id", "rep").join(new, key).select("c", "shingles").dropDuplicates(["c"])
+            else:
+                rows = rows.join(new.select(F.col("rep").alias("doc_id"), "c"), "doc_id").select("c", "shingles")
+            self.parts.append(self.scratch.table(rows, step))
+        out = self.parts[0]
+        for part in self.parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    def _read(self, bits: np.ndarray) -> DataFrame:
+        k = self.k
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            batch = batch.filter(pa.array(common.passes(bits, batch.column("slot").to_numpy(zero_copy_only=False))))
+            h, d = doc_shingles(batch, k)
+            bounds = common.doc_starts(d, batch.num_rows)
+            signed = h.view(np.int64).copy()
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                signed[a:b].sort()
+            raw = [signed[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), *map(pa.array, set_names(h, bounds)), pa.array(raw, pa.binary())], ["doc_id", "n_shingles", "s1", "s2", "shingles"])
+
+        return common.map_text(self.docs, run, "doc_id long, n_shingles long, s1 long, s2 long, shingles binary", 1 << 20)
+
+
+def _with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with comp, the component of c by ``labels``; a class without links is its own."""
+    return rows.join(labels.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("comp", F.coalesce("component", "c")).drop("component")
+
+
+def _hubs_by_score(members: DataFrame) -> DataFrame:
+    """(bucket, hub, score): a bucket's hub is the member that meets most others over all its buckets, the least on ties.
+
+    One order over all members, so near copies, which share many buckets, share a hub, and it is the one in their middle.
     """
-    votes = members.join(hubs, "bucket").groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("n"))
-    own = scratch.table(votes.groupBy("rep").agg(F.max(F.struct("n", (-F.col("hub")).alias("less"))).alias("v")).select("rep", (-F.col("v.less")).alias("hub")), f"own-hubs{turn}")
-    votes = members.join(own, "rep").groupBy("bucket", "hub").agg(F.count(F.lit(1)).alias("n"))
-    return votes.groupBy("bucket").agg(F.max(F.struct("n", (-F.col("hub")).alias("less"))).alias("v")).select("bucket", (-F.col("v.less")).alias("hub"))
+    score = members.groupBy("c").agg(F.sum("n").alias("score"))
+    best = members.join(score, "c").groupBy("bucket").agg(F.max(F.struct("score", (-F.col("c")).alias("less"))).alias("h"))
+    return best.select("bucket", (-F.col("h.less")).alias("hub"), "h.score")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """The full shingle sets of the documents in ``ids`` (rep), and of few others, as sorted 64-bit hashes."""
-    n = ids.count()
-    bits = common.bloom_bits(ids, "rep", max(20, min(28, (8 * n).bit_length())))
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        batch = batch.filter(pa.array(common.passes(bits, batch.column("slot").to_numpy(zero_copy_only=False))))
-        h, d = doc_shingles(batch, k)
-        bounds = common.doc_starts(d, batch.num_rows)
-        signed = np.sort(h.view(np.int64)) if batch.num_rows == 1 else h.view(np.int64).copy()
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            signed[a:b].sort()
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([signed[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["doc_id", "shingles"])
-
-    keyed = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("slot", F.xxhash64("doc_id"))
-    return common.map_text(keyed, run, "doc_id long, shingles binary", 1 << 20)
+def _links(spark: SparkSession, docs: DataFrame, reps: DataFrame, k: int, percent: int, repeated: bool, scratch: Scratch) -> DataFrame:
+    """(node, component) of the classes that link with another, by class, as a table of ``scratch``."""
+    near = 100 - 2 * (100 - percent)
+    rows = reps.select("c", F.posexplode("bands").alias("band", "key")).select("c", F.col("band").cast("byte").alias("band"), F.xxhash64("band", "key").alias("bucket"))
+    shared = scratch.table(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    members = scratch.table(rows.join(shared, "bucket").select("bucket", "band", "c", "n"), "members")
+    scratch.drop("shared")
+    sets = _Sets(docs, reps, k, repeated, scratch)
+
+    # Each class and the best of its buckets' hubs.
+    first = scratch.table(_hubs_by_score(members), "first")
+    pairs = members.join(first, "bucket").where("c <> hub").groupBy("c").agg(F.max(F.struct("score", (-F.col("hub")).alias("less"))).alias("h")).select((-F.col("h.less")).alias("a"), F.col("c").alias("b"))
+    both = lambda pairs: pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    agreeing = scratch.table(_agreeing(pairs, reps, percent), "agreeing0")
+    linked = scratch.table(_compared(agreeing, sets.with_(both(agreeing)), percent, percent).select("a", "b"), "linked")
+    labels = common.components(spark, linked, scratch, "labels0")
+
+    # Buckets that still have several components, and their hubs.
+    members = scratch.table(_with_components(members, labels), "placed")
+    several = scratch.table(members.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket"), "several")
+    members = scratch.table(members.join(several, "bucket").select("bucket", "band", "c", "comp", "n"), "open")
+    scratch.drop("members", "placed", "agreeing0", "linked", "several")
+    joined = scratch.table(members.join(first.select("bucket", "hub"), "bucket").where("c <> hub"), "joined")
+    agreeing = scratch.table(_agreeing(joined.select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct(), reps, near), "agreeing")
+    have = sets.with_(both(agreeing))
+    kinds = scratch.table(_compared(agreeing, have, percent, near), "kinds")
+
+    # Members near the hub: of two that can link, one isn't linked with it.
+    size = reps.select("c", "n_shingles")
+    group = _with_components(kinds.select(F.col("a").alias("hub"), F.col("b").alias("c"), "linked"), labels)
+    group = group.join(labels.select(F.col("node").alias("hub"), "component"), "hub", "left").withColumn("home", F.coalesce("component", "hub"))
+    group = group.select("hub", "c", "home", F.when(F.col("linked"), F.col("home")).otherwise(F.col("comp")).alias("comp")).withColumn("probe", F.col("comp") != F.col("home"))
+    group = _chunked(group.join(size, "c"), "hub", scratch, "group", "count(*) > 1 AND bool_or(probe)").join(have, "c")
+    within = scratch.table(_forest(group, "hub", percent), "within")
+
+    # Members far from the hub: by signature, then on the sets of those that agree with another.
+    kind = kinds.select(F.col("a").alias("hub"), F.col("b").alias("c"), "linked")
+    left = joined.where("n > 2").join(kind, ["hub", "c"], "left").where("linked IS NULL OR NOT linked").select("bucket", "band", "c", "comp", F.col("linked").isNull().alias("far"))
+    left = scratch.table(left, "left")
+    mixed = left.groupBy("bucket").agg(F.count_if("far").alias("far_members"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y AND far_members > 0").select("bucket")
+    left = left.join(scratch.table(mixed, "mixed"), "bucket")
+    far = scratch.table(_far_members(_chunked(left.join(size, "c"), "bucket", scratch, "far").join(reps.select("c", "bands"), "c"), percent).distinct(), "far")
+    apart = _chunked(far.withColumnRenamed("far", "probe").join(size, "c"), "bucket", scratch, "apart").join(sets.with_(far.select("c").distinct()), "c")
+    apart = scratch.table(_forest(apart, "bucket", percent), "apart")
+    links = kinds.where("linked").select("a", "b").unionByName(within).unionByName(apart)
+
+    # The components of the first links, joined by the others.
+    place = lambda c, to: labels.select(F.col("node").alias(c), F.col("component").alias(to))
+    over = links.join(place("a", "x"), "a", "left").join(place("b", "y"), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    more = common.components(spark, over, scratch, "more")
+    nodes = labels.select(F.col("node"), "component").unionByName(more.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("component")))
+    moved = more.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return scratch.table(nodes.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -249,58 +345,46 @@ def near_dedup(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
 
     A document's set is its distinct k-word shingles (with fewer words its whole sequence as one; without words none,
     and it links with nothing). Documents link when 100 * intersection >= percent * union, confirmed on the full sets.
-    component_id is the smallest doc_id reachable; the document that has it is kept. Rows that share a doc_id are one
-    node; a null doc_id links with nothing, has no component and is kept. An empty table gives no rows.
-
-    Equal sets are one class, represented by its smallest doc_id, so exact copies never make pairs. Representatives
-    meet in band buckets, and each bucket's members are compared with one hub, on their full sets (one for many buckets). Jaccard distance is
-    a metric, so of the other pairs only these can link: two members near the hub (similarity 1 - 2 * (1 - t) at least,
-    for the threshold t) of which one isn't linked with it, which are intersected exactly in tasks that hold the hub's
-    group in chunks; and pairs with a member that isn't near the hub. Buckets with many such members take another hub;
-    the rest are compared by signature in the bucket, and on full sets where those agree. So each pair of a bucket is
-    compared or ruled out, and the components are those of all pairs that share a band. No group is paired up in rows.
+    component_id is the smallest doc_id reachable; rows of the document that has it are kept. Rows that share a doc_id
+    are one node, whatever their texts: what one of them reaches all reach. A row without doc_id takes the component of
+    an equal set under an id, and isn't kept; else it links with nothing, has no component and is kept. An empty table
+    gives no rows.
+
+    Equal sets are one class, so exact copies never make pairs. Classes meet in band buckets. First each is compared, on
+    the full sets, with the best connected of its buckets' hubs; that joins nearly all that belongs together, so pairs
+    that are left over are those between different components of a bucket. For these each bucket's members are compared
+    with one hub. As Jaccard distance is a metric, of the other pairs only these can link: two members near the hub
+    (similarity 1 - 2 * (1 - t) at least, for the threshold t) of which one isn't linked with it, which are intersected
+    exactly in tasks that hold the hub's group in chunks; and pairs with a member that isn't near the hub, which are
+    compared by signature in the bucket, in chunks too, and on full sets where those agree. So each pair of a bucket is
+    compared, ruled out or inside a component. No group is paired up in rows. What the result reads is one table; all
+    others are deleted.
     """
     scratch = Scratch(spark, "minhash")
-    near = 100 - 2 * (100 - percent)
     drawn = scratch.table(sketch(docs, k), "sketch")
-    classes = drawn.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    classes = scratch.table(classes, "classes")  # written, so that the join has two plain shuffles and a hot class is split
+    known = drawn.where("doc_id is not null")
+    repeats = scratch.table(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeats")
+    repeated = bool(repeats.take(1))
+    classes = known.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"))
+    # Written, so that the join has two plain shuffles and a hot class is split. A class goes by its smallest doc_id unless ids repeat.
+    classes = scratch.table(classes.withColumn("c", F.monotonically_increasing_id() if repeated else F.col("rep")), "classes")
     nodes = drawn.join(classes, ["n_shingles", "s1", "s2"], "left")
-    nodes = nodes.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands"))
-    nodes = scratch.table(nodes, "nodes")
+    nodes = scratch.table(nodes.withColumn("bands", F.when(F.col("doc_id") == F.col("rep"), F.col("bands"))), "nodes")
     scratch.drop("sketch", "classes")
-    reps = nodes.where("bands is not null").select("rep", "n_shingles", "bands").dropDuplicates(["rep"])
-    rows = reps.select("rep", F.posexplode("bands").alias("band", "key")).select("rep", "band", F.xxhash64("band", "key").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = scratch.table(rows.join(scratch.table(shared, "shared"), "bucket"), "members0")
-    scratch.drop("shared")
-    sets = scratch.table(_sets(docs, members.select("rep").distinct(), k), "sets")
-    links = None
-    for turn in range(HUBS + 1):
-        hubs = members.groupBy("bucket").agg(F.min("rep" if not turn else F.struct(F.xxhash64("rep", F.lit(turn)), "rep")).alias("h"))
-        hubs = scratch.table(hubs.select("bucket", F.col("h" if not turn else "h.rep").alias("hub")), f"first-hubs{turn}")
-        hubs = scratch.table(_common_hubs(members, hubs, scratch, turn), f"hubs{turn}")
-        joined = members.join(hubs, "bucket").where("rep <> hub")
-        pairs = scratch.table(joined.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), f"pairs{turn}")
-        kinds = scratch.table(_compared(_agreeing(pairs, reps, near), sets, percent, near), f"kinds{turn}")
-        links = kinds.where("linked").select("a", "b") if links is None else links.union(kinds.where("linked").select("a", "b"))
-        group = kinds.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "linked")
-        group = _chunked(group, "hub", scratch, f"group{turn}", "count(*) > 1 AND NOT bool_and(linked)").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-        links = links.union(scratch.table(_within_groups(group, percent), f"within{turn}"))
-        kind = kinds.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "linked")
-        left = joined.join(kind, ["hub", "rep"], "left").where("linked IS NULL OR NOT linked").select("bucket", "band", "rep", F.col("linked").isNull().alias("far"))
-        left = scratch.table(left, f"left{turn}")
-        counts = left.groupBy("bucket").agg(F.count_if("far").alias("far_members"), F.count(F.lit(1)).alias("n")).where("n > 1 AND far_members > 0")
-        counts = scratch.table(counts, f"counts{turn}")
-        few = left.join(counts.where(f"far_members <= {FAR}" if turn < HUBS else "true").select("bucket"), "bucket")
-        few = _chunked(few, "bucket", scratch, f"few{turn}").join(reps.select("rep", "bands"), "rep")
-        apart = scratch.table(_far_pairs(few, percent).distinct(), f"apart{turn}")
-        links = links.union(scratch.table(_compared(apart, sets, percent, percent).select("a", "b"), f"apart-links{turn}"))
-        if turn == HUBS or not counts.where(f"far_members > {FAR}").take(1):
-            break
-        members = scratch.table(left.join(counts.where(f"far_members > {FAR}").select("bucket"), "bucket").select("bucket", "band", "rep"), f"members{turn + 1}")
-    labels = common.components(spark, links, "minhash")
-    scratch.drop("sets")
-    return nodes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.col("doc_id").eqNullSafe(F.coalesce("component", "rep")).alias("kept")
-    )
+    reps = nodes.where("bands is not null").select("c", "rep", "n_shingles", "s1", "s2", "bands")
+    if repeated:
+        reps = scratch.table(reps.dropDuplicates(["c"]), "reps")
+    labels = _links(spark, docs, reps, k, percent, repeated, scratch)
+    rows = nodes.select("doc_id", "n_shingles", "c")
+    if repeated:  # the classes of one doc_id are one node, and go by the smallest doc_id of all
+        own = scratch.table(rows.where("c is not null").join(repeats, "doc_id").groupBy("doc_id").agg(F.min("c").alias("own")), "own")
+        rows = rows.join(own, "doc_id", "left").withColumn("c", F.coalesce("c", "own"))
+        joined = rows.where("c <> own").select(F.col("c").alias("a"), F.col("own").alias("b")).unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = common.components(spark, joined, scratch, "joined")
+        named = _with_components(reps.select("c", "rep"), labels)
+        least = scratch.table(named.groupBy("comp").agg(F.min("rep").alias("component")), "least")
+        labels = named.join(least, "comp").select(F.col("c").alias("node"), "component")
+    labels = labels.select(F.col("node").alias("c"), "component")
+    component = F.coalesce("component", "c" if not repeated else "doc_id", "doc_id")
+    out = rows.join(labels, "c", "left").select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return scratch.only(out)

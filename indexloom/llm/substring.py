@@ -103,15 +103,14 @@ def _segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return common.map_text(docs, run, "doc_id long, seed long, s1 long, s2 long, first long, windows long", 1 << 20)
 
 
-def _windows(docs: DataFrame, seeds: np.ndarray, window: int, anchor: int) -> DataFrame:
-    """The windows of the segments whose (s1, s2) is in the filter ``seeds``; ``first`` is a window's first word."""
+def _windows(docs: DataFrame, owners: np.ndarray, window: int, anchor: int) -> DataFrame:
+    """The windows of the segments whose (s1, owner) is in the filter ``owners``; ``first`` is a window's first word."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = Segments(batch, window, anchor)
         if len(s.doc):
             s1, _ = s.names(s.start, s.count + window - 1)
-            slot = s1 & (len(seeds) * 64 - 1)
-            hit = ((seeds[slot >> 6] >> (slot & 63)) & 1).astype(bool)
+            hit = common.passes(owners, s1 ^ batch.column("slot").to_numpy(zero_copy_only=False)[s.doc])
             start, count, doc = s.start[hit], s.count[hit], s.doc[hit]
             doc = np.repeat(doc, count)
             start = np.repeat(start - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
@@ -120,15 +119,7 @@ def _windows(docs: DataFrame, seeds: np.ndarray, window: int, anchor: int) -> Da
             doc, names, first = s.doc, [s.first, s.first], s.first
         return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(doc)), *map(pa.array, names), pa.array(first)], ["doc_id", "w1", "w2", "first"])
 
-    return common.map_text(docs, run, "doc_id long, w1 long, w2 long, first long", 1 << 20)
-
-
-def _low_bits(rows: DataFrame, col: str, log2_bits: int) -> np.ndarray:
-    """Like ``common.bloom_bits`` for a column that is a hash already."""
-    words = rows.selectExpr(f"shiftright({col} & {(1 << log2_bits) - 1}L, 6) AS w", f"shiftleft(1L, CAST({col} & 63 AS INT)) AS b").groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
-    bits = np.zeros(1 << (log2_bits - 6), np.int64)
-    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
-    return bits
+    return common.map_text(docs.withColumn("slot", F.xxhash64("doc_id")), run, "doc_id long, w1 long, w2 long, first long", 1 << 20)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, scratch: Scratch, window: int, anchor: int) -> DataFrame:
@@ -143,23 +134,25 @@ def repeats(spark: SparkSession, docs: DataFrame, scratch: Scratch, window: int,
     segments = scratch.table(_segments(docs, window, anchor).where("doc_id is not null"), "segments")
     seeds = segments.groupBy("seed").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x <> y").select("seed")
     seeds = scratch.table(seeds, "seeds")
-    log2 = max(20, min(28, (8 * seeds.count()).bit_length()))
-    shared = common.maybe_in(segments, "seed", common.bloom_bits(seeds, "seed", log2))
-    shared = scratch.table(shared.join(seeds, "seed", "left_semi"), "shared")
-    scratch.drop("segments")
+    maybe = common.may_be_in(spark, common.bloom_bits(seeds, F.xxhash64("seed"), common.filter_size(seeds.count())), F.xxhash64("seed"))
+    shared = scratch.table(segments.where(maybe).join(seeds, "seed", "left_semi"), "shared")
+    scratch.drop("segments", "seeds")
     kinds = scratch.table(shared.groupBy("seed", "s1", "s2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")), "kinds")
-    owned = kinds.where("owner <> last").select("s1", "s2", "owner")
-    owned = scratch.table(owned, "owned")
+    owned = scratch.table(kinds.where("owner <> last").select("s1", "s2", "owner"), "owned")
     whole = shared.join(owned, ["s1", "s2"]).where("doc_id > owner").select("doc_id", "first", (F.col("windows") + window - 1).alias("words"))
     whole = scratch.table(whole, "whole")
+    scratch.drop("shared", "owned")
     several = scratch.table(kinds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed"), "several")
-    open_ = scratch.table(kinds.join(several, "seed", "left_semi").select("s1", "s2", "owner"), "open")
-    bits = _low_bits(open_, "s1", max(20, min(28, (8 * open_.count()).bit_length())))
-    scratch.drop("shared", "kinds", "owned", "several", "seeds")
+    open_ = scratch.table(kinds.join(several, "seed", "left_semi").select(F.col("s1").bitwiseXOR(F.xxhash64("owner")).alias("slot")), "open")
+    scratch.drop("kinds", "several")
+    bits = common.bloom_bits(open_, F.col("slot"), common.filter_size(open_.count()))
+    scratch.drop("open")
     windows = scratch.table(_windows(docs, bits, window, anchor).where("doc_id is not null"), "windows")
     first = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x <> y").select("w1", "w2", "x")
     single = windows.join(scratch.table(first, "first"), ["w1", "w2"]).where("doc_id > x").select("doc_id", "first", F.lit(window).cast("long").alias("words"))
-    return scratch.table(whole.union(single), "repeats")
+    found = scratch.table(whole.union(single), "repeats")
+    scratch.drop("whole", "windows", "first")
+    return found
 
 
 def _kept(words: list[bytes], first: np.ndarray, length: np.ndarray) -> tuple[int, bytes]:
@@ -171,19 +164,11 @@ def _kept(words: list[bytes], first: np.ndarray, length: np.ndarray) -> tuple[in
     return int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
 
 
-def _finish(rows: DataFrame, keep_text: bool, without: np.ndarray | None = None) -> DataFrame:
-    """Counts, digest and (if asked for) text; bytes.split() splits at exactly the contract's white space.
-
-    Rows have their runs; with ``without`` (a filter of ids that may have runs) they have none, and those ids are left out.
-    """
-    cut = without is None
-    if not cut:
-        rows = rows.withColumn("slot", F.xxhash64("doc_id"))
+def _finish(rows: DataFrame, keep_text: bool, cut: bool) -> DataFrame:
+    """Counts, digest and (if asked for) text; bytes.split() splits at exactly the contract's white space. With ``cut`` rows have their runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            if not cut:
-                whole = whole.filter(pa.array(~common.passes(without, whole.column("slot").to_numpy(zero_copy_only=False))))
             for batch in common.slices(whole, "text", 1 << 20):
                 n, removed, digests, texts = [], [], [], []
                 runs = batch.column("runs") if cut else None
@@ -205,15 +190,16 @@ def _finish(rows: DataFrame, keep_text: bool, without: np.ndarray | None = None)
                     columns.append(pa.array(texts, pa.string()))
                     names.append("kept_text")
                     for name in batch.schema.names:
-                        if name not in ("doc_id", "text", "runs", "slot"):
+                        if name not in ("doc_id", "text", "runs"):
                             columns.append(batch.column(name))
                             names.append(name)
                 yield pa.RecordBatch.from_arrays(columns, names)
         common.release()
 
+    common.bounded_batches(rows)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     if keep_text:
-        schema += ", kept_text string" + "".join(f", `{n}` {t}" for n, t in rows.dtypes if n not in ("doc_id", "text", "runs", "slot"))
+        schema += ", kept_text string" + "".join(f", `{n}` {t}" for n, t in rows.dtypes if n not in ("doc_id", "text", "runs"))
     return rows.mapInArrow(run, schema)
 
 
@@ -226,16 +212,16 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
 
     Null and empty texts have no words; texts below ``window`` words lose none. Rows that share a doc_id are one document:
     repeats among them stay, and what goes from one goes from the same place in the others. A null doc_id neither gives
-    nor loses words. An empty table gives no rows. Words are compared by 64-bit hashes, runs by 128 bits.
+    nor loses words. An empty table gives no rows. Words are compared by 64-bit hashes, runs by 128 bits. What the result
+    reads beside ``docs`` is one table of runs; all others are deleted.
 
     Texts without a repeat are finished where they are read; only the others are shuffled, by doc_id, to meet their runs.
     """
     scratch = Scratch(spark, "substring")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = repeats(spark, slim, scratch, window, anchor)
-    runs = scratch.table(found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "words")).alias("runs")), "runs")
-    bits = common.bloom_bits(runs, "doc_id", max(20, min(28, (8 * runs.count()).bit_length())))
+    runs = scratch.only(found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "words")).alias("runs")))
+    bits = common.bloom_bits(runs, F.xxhash64("doc_id"), common.filter_size(runs.count()))
+    hit = common.may_be_in(spark, bits, F.xxhash64("doc_id"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
-    clean = _finish(rows, keep_text, bits)  # filtered and finished in one pass, so by one Python worker
-    cut = _finish(common.maybe_in(rows, "doc_id", bits).join(runs, "doc_id", "left"), keep_text)
-    return clean.unionByName(cut)
+    return _finish(rows.where(~hit), keep_text, False).unionByName(_finish(rows.where(hit).join(runs, "doc_id", "left"), keep_text, True))

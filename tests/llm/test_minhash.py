@@ -57,10 +57,9 @@ def made(seed, n_base=6, copies=12):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed,k,chunk,far", [(1, 2, 2048, 64), (2, 5, 5, 2), (3, 2, 3, 0)])
-def test_like_brute_force(spark, monkeypatch, seed, k, chunk, far):
+@pytest.mark.parametrize("seed,k,chunk", [(1, 2, 2048), (2, 5, 5), (3, 2, 3)])
+def test_like_brute_force(spark, monkeypatch, seed, k, chunk):
     monkeypatch.setattr(minhash, "CHUNK_MEMBERS", chunk)
-    monkeypatch.setattr(minhash, "FAR", far)
     rows = made(seed)
     df = spark.createDataFrame([(d, t, None, 7) for d, t in rows], DOCS)
     got = sorted(tuple(r) for r in minhash.near_dedup(spark, df, k).collect())
@@ -90,3 +89,21 @@ def test_long_text(spark):
     text = "w%d " * 30_000 % tuple(range(30_000))
     df = spark.createDataFrame([(2, text, None, 0), (1, text + "end", None, 0)], DOCS)
     assert sorted(map(tuple, minhash.near_dedup(spark, df, 5).collect())) == [(1, 29_997, 1, True), (2, 29_996, 1, False)]
+
+
+def test_one_id_with_several_texts(spark):
+    """Texts under one id are one node, so what links with either is linked with both."""
+    a, b = "a b c d e f g h i j", "k l m n o p q r s t"
+    near = lambda t: t + " end"
+    df = spark.createDataFrame([(5, a, None, 0), (5, b, None, 0), (1, a, None, 0)], DOCS)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_dedup(spark, df, 2).collect()} == {(5, 1, False), (1, 1, True)}
+    df = spark.createDataFrame([(5, a, None, 0), (5, b, None, 0), (7, near(b), None, 0), (8, near(a), None, 0), (5, "", None, 0), (6, "", None, 0)], DOCS)
+    assert {(r["doc_id"], r["component_id"]) for r in minhash.near_dedup(spark, df, 2).collect()} == {(5, 5), (7, 5), (8, 5), (6, 6)}
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_whole_table_like_brute_force(spark, k):
+    """Recall over a whole table: every document's component is that of all its links."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(tuple(r) for r in minhash.near_dedup(spark, docs, k).collect()) == brute(rows, k)

@@ -3,7 +3,7 @@
 import hashlib
 
 import corpus_pipeline
-from indexloom.llm import language
+from indexloom.llm import common, language
 from test_minhash import brute as near
 from test_substring import brute as substrings
 from test_text_operators import check_packing
@@ -47,3 +47,18 @@ def test_run_is_the_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert out.where("doc_tokens > 0").count() == out.count() > 0
+
+
+def test_rows_are_dropped_not_ids(spark, monkeypatch):
+    """A text that nothing else has stays, whatever other rows its id has."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row_id int"
+    docs = spark.createDataFrame([(5, "x y", "en", "s", 3, 0), (5, "unique text here", "en", "s", 16, 1), (9, "X y", "en", "s", 3, 2), (None, "x Y", "en", "s", 3, 3), (5, "unique text here", "en", "s", 16, 4), (None, None, None, None, None, None)], schema)
+    for few in (0, common.FEW_IDS):
+        monkeypatch.setattr(common, "FEW_IDS", few)
+        out = corpus_pipeline.drop_exact_copies(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(9, "X y"), (5, "unique text here"), (None, None)], key=str)
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(5, base, "en", "s", 1, 0), (5, "unique text here is all there is", "en", "s", 1, 1), (3, base + " end", "en", "s", 1, 2), (None, base + " End", "en", "s", 1, 3)], schema)
+    got = sorted(((r["doc_id"], r["row_id"]) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()), key=str)
+    assert got == [(3, 2), (5, 1)]
