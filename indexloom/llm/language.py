@@ -19,7 +19,9 @@ SAMPLE_DOCS, PIECES, PIECE_WORDS = 600, 3, 24
 #: Documents of folds other than this one, of FOLDS, may be learned from.
 FOLDS, HELD_OUT = 4, 2
 #: Bytes of text that are labelled at once.
-SLICE = 3 << 20
+SLICE = 512 << 10
+#: Words of a block of the chain. All blocks of a slice run word by word beside each other, so a long text is many short chains.
+BLOCK = 512
 #: Hashed features.
 TABLE = 1 << 16
 UNKNOWN = "und"
@@ -74,35 +76,96 @@ def emissions(model: Model, data: np.ndarray, starts: np.ndarray, lengths: np.nd
     return out[back]
 
 
-def marginals(scores: np.ndarray, bounds: np.ndarray, moves: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Posterior of each label at each word by forward-backward, for all documents at once, word by word."""
+def _sum_to_one(x: np.ndarray) -> np.ndarray:
+    return x / x.sum(axis=-1, keepdims=True)
+
+
+def _transfer(local: np.ndarray, at: np.ndarray, length: np.ndarray, before: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """For each block the matrix that takes a message over it, up to scale; ``before`` is the move into its first word."""
+    order = np.argsort(-length, kind="stable")
+    at, length = at[order], length[order]
+    out = before[order] * local[at][:, None, :]
+    for t in range(1, int(length[0])):
+        k = int(np.searchsorted(-length, -t, side="left"))
+        m = (out[:k] @ step) * local[at[:k] + t][:, None, :]
+        out[:k] = m / m.sum(axis=(1, 2), keepdims=True)
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return out[back]
+
+
+def forward_backward(scores: np.ndarray, bounds: np.ndarray, moves: np.ndarray, start: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(local factors, forward messages, backward messages) at each word, each message up to scale.
+
+    Documents are cut into blocks, and all blocks advance together. What enters a block from either side is found first,
+    from the transfer matrices of the blocks of long documents, so the cuts change nothing.
+    """
     n, n_labels = scores.shape
     local = np.exp(scores - scores.max(axis=1, keepdims=True)) if n else scores
-    step = np.exp(moves).astype(local.dtype)
-    lengths = np.diff(bounds)
-    order = np.argsort(-lengths, kind="stable")
-    lengths, at = lengths[order], bounds[:-1][order]
-    longest = int(lengths[0]) if len(lengths) else 0
-    active = np.searchsorted(-lengths, -np.arange(longest), side="left")  # documents longer than t
-    alpha = np.empty_like(local)
-    a = None
+    step, first_step = np.exp(moves).astype(local.dtype), np.exp(start).astype(local.dtype)
+    sizes = np.diff(bounds)
+    parts = -(-sizes // block)
+    doc = np.repeat(np.arange(len(sizes)), parts)
+    rank = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+    at, length = bounds[:-1][doc] + rank * block, np.minimum(block, sizes[doc] - rank * block)
+    into = np.tile(first_step, (len(doc), 1))
+    behind = np.ones((len(doc), n_labels), local.dtype)
+    cut = np.flatnonzero(parts[doc] > 1)
+    if len(cut):
+        begins = (rank[cut] == 0)[:, None, None]
+        over = np.empty((len(doc), n_labels, n_labels), local.dtype)
+        over[cut] = _transfer(local, at[cut], length[cut], np.where(begins, np.eye(n_labels, dtype=local.dtype), step), step)
+        by_rank = [cut[rank[cut] == r] for r in range(int(rank.max()) + 1)]
+        end = into.copy()  # the forward message at the last word of each block
+        for here in by_rank:
+            if len(here) and rank[here[0]]:
+                into[here] = end[here - 1] @ step
+            enters = into[here] if len(here) and not rank[here[0]] else end[here - 1]
+            end[here] = _sum_to_one(np.einsum("bi,bij->bj", enters, over[here]))
+        for here in by_rank[::-1]:
+            here = here[rank[here] < parts[doc[here]] - 1]
+            behind[here] = _sum_to_one(np.einsum("bij,bj->bi", over[here + 1], behind[here + 1]))
+    order = np.argsort(-length, kind="stable")
+    at, length, into, behind = at[order], length[order], into[order], behind[order]
+    longest = int(length[0]) if len(length) else 0
+    active = np.searchsorted(-length, -np.arange(longest), side="left")  # blocks longer than t
+    alpha, beta = np.empty_like(local), np.empty_like(local)
+    a = into
     for t in range(longest):
-        idx = at[: active[t]] + t
-        a = local[idx] * (np.exp(start).astype(local.dtype) if t == 0 else a[: active[t]] @ step)
-        a /= a.sum(axis=1, keepdims=True)
-        alpha[idx] = a
-    b = np.ones((0, n_labels), local.dtype)
+        k = active[t]
+        a = _sum_to_one(local[at[:k] + t] * (a if t == 0 else a[:k] @ step))
+        alpha[at[:k] + t] = a
+    b = behind[:0]
     for t in range(longest - 1, -1, -1):
         k = active[t]
-        new = np.ones((k, n_labels), local.dtype)
+        new = behind[:k].copy()
         if len(b):
-            new[: len(b)] = (local[at[: len(b)] + t + 1] * b) @ step.T
-            new[: len(b)] /= new[: len(b)].sum(axis=1, keepdims=True)
+            new[: len(b)] = _sum_to_one((local[at[: len(b)] + t + 1] * b) @ step.T)
         b = new
-        alpha[at[:k] + t] *= b
-    if n:
-        alpha /= alpha.sum(axis=1, keepdims=True)
-    return alpha
+        beta[at[:k] + t] = b
+    return local, alpha, beta
+
+
+def marginals(scores: np.ndarray, bounds: np.ndarray, moves: np.ndarray, start: np.ndarray, block: int = BLOCK) -> np.ndarray:
+    """Posterior of each label at each word by forward-backward."""
+    _, alpha, beta = forward_backward(scores, bounds, moves, start, block)
+    return _sum_to_one(alpha * beta) if len(scores) else alpha
+
+
+def gradients(scores: np.ndarray, truth: np.ndarray, bounds: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the log-likelihood of ``truth``, by scores, moves and start: what is there less what is expected.
+
+    A pair of neighbours is expected by the forward message of one, the move, and the factor and backward message of the other.
+    """
+    local, alpha, beta = forward_backward(scores, bounds, moves, start)
+    by_score = -_sum_to_one(alpha * beta)
+    by_score[np.arange(len(truth)), truth] += 1
+    left = np.setdiff1d(np.arange(len(truth) - 1), bounds[1:-1] - 1)
+    pair = alpha[left][:, :, None] * np.exp(moves)[None] * (local * beta)[left + 1][:, None, :]
+    pair /= pair.sum(axis=(1, 2), keepdims=True)
+    by_move = -pair.sum(axis=0)
+    np.add.at(by_move, (truth[left], truth[left + 1]), 1)
+    return by_score, by_move, by_score[bounds[:-1]].sum(axis=0)
 
 
 def train(pieces: list[tuple[str, list[bytes]]], epochs: int = 4, batch: int = 64, rate: float = 0.3, seed: int = 11) -> Model:
@@ -140,26 +203,12 @@ def train(pieces: list[tuple[str, list[bytes]]], epochs: int = 4, batch: int = 6
         who = np.repeat(np.arange(len(words)), sizes)
         feats = f[np.arange(len(who)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + cuts[words][who]]
         scores = np.add.reduceat(model.weights[feats], np.cumsum(sizes) - sizes, axis=0).astype(np.float64)
-        post = marginals(scores, bounds, model.moves, model.start)
-        grad = -post
-        grad[np.arange(len(truth)), truth] += 1
+        grad, gm, gs = gradients(scores, truth, bounds, model.moves, model.start)
         g = np.zeros_like(model.weights)
         np.add.at(g, feats, grad[who].astype(np.float32))
-        g /= batch
-        square_w += g * g
-        model.weights += rate * g / np.sqrt(square_w)
-        # Expected moves by the posteriors of neighbours and the current moves.
-        left = np.setdiff1d(np.arange(len(words) - 1), bounds[1:-1] - 1)
-        pair = post[left][:, :, None] * post[left + 1][:, None, :] * np.exp(model.moves)[None]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        real = np.zeros_like(model.moves)
-        np.add.at(real, (truth[left], truth[left + 1]), 1)
-        gm = (real - pair.sum(axis=0)) / batch
-        square_m += gm * gm
-        model.moves += rate * gm / np.sqrt(square_m)
-        gs = grad[bounds[:-1]].sum(axis=0) / batch
-        square_s += gs * gs
-        model.start += rate * gs / np.sqrt(square_s)
+        for value, gradient, square in ((model.weights, g / batch, square_w), (model.moves, gm / batch, square_m), (model.start, gs / batch, square_s)):
+            square += gradient * gradient
+            value += rate * gradient / np.sqrt(square)
     return model
 
 
@@ -222,8 +271,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``min_score``, all columns, ``lang`` set to that language.
 
-    Trained on ``docs`` as in :func:`identify`. Null texts and texts without a letter go. No shuffle.
+    Trained on ``docs`` as in :func:`identify`; without a column ``lang`` there is nothing to learn from, and every row
+    goes. Null texts and texts without a letter go, repeated rows are decided alike. No shuffle.
     """
+    if "lang" not in docs.columns:
+        return docs.limit(0)
     model = train(sample_pieces(docs))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -27,6 +27,38 @@ def test_marginals_like_enumeration():
             assert np.allclose(got[a:b], want / want.sum(axis=1, keepdims=True))
 
 
+def test_blocks_change_nothing():
+    rng = np.random.default_rng(3)
+    bounds = np.array([0, 0, 1, 8, 30, 33, 33])
+    scores, moves, start = rng.standard_normal((33, 4)), rng.standard_normal((4, 4)), rng.standard_normal(4)
+    whole = language.marginals(scores, bounds, moves, start, 100)
+    for block in (1, 2, 3, 7):
+        assert np.allclose(language.marginals(scores, bounds, moves, start, block), whole)
+
+
+def test_gradients_like_differences():
+    """Of the log-likelihood by enumeration, for emissions, moves and the start."""
+    rng = np.random.default_rng(4)
+    bounds, truth = np.array([0, 4, 5, 8]), np.array([0, 2, 1, 1, 2, 0, 0, 1])
+    params = [rng.standard_normal((8, 3)), 2 * rng.standard_normal((3, 3)), rng.standard_normal(3)]
+
+    def likelihood():
+        scores, moves, start = params
+        total = 0.0
+        for a, b in itertools.pairwise(bounds):
+            value = lambda path: start[path[0]] + sum(scores[a + t, y] for t, y in enumerate(path)) + sum(moves[x, y] for x, y in itertools.pairwise(path))  # noqa: B023, E731
+            total += value(truth[a:b]) - np.log(sum(np.exp(value(p)) for p in itertools.product(range(3), repeat=int(b - a))))
+        return total
+
+    for p, g in zip(params, language.gradients(params[0], truth, bounds, params[1], params[2]), strict=True):
+        for at in np.ndindex(p.shape):
+            p[at] += 1e-5
+            up = likelihood()
+            p[at] -= 2e-5
+            assert abs((up - likelihood()) / 2e-5 - g[at]) < 1e-6
+            p[at] += 1e-5
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{SF_LARGE}/documents.parquet")
     rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL").collect()
@@ -98,3 +130,20 @@ def test_quality_cases(spark):
     got = quality.classify(spark, df, none).collect()
     assert len(got) == 4 and {r["score"] for r in got} == {0.5}
     assert quality.classify(spark, df.limit(0), none).collect() == []
+
+
+def test_repeated_rows_score_alike(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    twice = docs.unionByName(docs)
+    for rows in (quality.classify(spark, twice, labels).collect(), language.identify(twice).collect()):
+        assert len(rows) == 2 * docs.count() and len({tuple(r) for r in rows}) == docs.count()
+
+
+def test_quality_takes_no_more_than_its_sample(spark, monkeypatch):
+    """At the bound labels are ordered by a hash of doc_id, then by doc_id and label, so ties don't change the model."""
+    monkeypatch.setattr(quality, "MAX_ROWS", 50)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    one, two = (sorted(map(tuple, quality.classify(spark, docs.repartition(n), labels.unionByName(labels).repartition(n)).collect())) for n in (1, 5))
+    assert one == two and len({r[2] for r in one}) > 1
