@@ -8,6 +8,7 @@ import heapq
 import re
 from array import array
 
+import public_tokenizers
 import pyarrow as pa
 import regex
 import xxhash
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-# The pre-token pattern of byte-level BPE with its classes spelt out. White space is Unicode's White_Space.
+# Unicode's White_Space, and letters and numbers below U+0250. Python's own classes differ from them.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SPACE_LOW = "\\t-\\r \\x85\\xa0"
 LETTER_LOW = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -23,7 +24,14 @@ NUMBER_LOW = "0-9²³¹¼-¾"
 
 
 def _pattern(space: str, letter: str, number: str) -> str:
-    return f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    """The public pre-token pattern with its classes spelt out."""
+    classes = {r"\s": space, r"\p{L}": letter, r"\p{N}": number}
+    spelt = lambda part: "".join(classes.get(x, x) for x in re.findall(r"\\p\{\w\}|\\?.", part))
+
+    def one(m: re.Match) -> str:
+        return spelt(m[0]) if m[0].startswith("[") else f"[^{space}]" if m[0] == r"\S" else f"[{classes[m[0]]}]"
+
+    return re.sub(r"\[[^]]*\]|\\p\{\w\}|\\[sS]", one, public_tokenizers.PATTERN)
 
 
 _ANY = regex.compile(_pattern(SPACE, r"\p{L}", r"\p{N}"))
@@ -144,7 +152,7 @@ class Encoder:
 class PieceCache(dict):
     """Pre-token -> its ids as little-endian unsigned 32-bit integers, in two generations of at most ``limit`` entries."""
 
-    def __init__(self, ids, limit: int = 250_000):
+    def __init__(self, ids, limit: int = 150_000):
         self.ids, self.limit, self.old = ids, limit, {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -207,4 +215,9 @@ def encode(docs: DataFrame, vocabulary: str, keep_ids: bool = False) -> DataFram
         return pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>" if keep_ids else "")
-    return common.map_text(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), run, schema)
+
+    def forget() -> None:  # the worker lives on
+        if vocabulary in _ENCODERS:
+            _ENCODERS[vocabulary][1].forget()
+
+    return common.map_text(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), run, schema, after=forget)

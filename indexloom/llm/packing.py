@@ -3,29 +3,32 @@
 from __future__ import annotations
 
 import heapq
-import json
 import os
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from . import bpe, common
+from .common import Scratch
 
 #: Tokens a sequence holds.
 CAPACITY = 2048
 #: Tokens that are packed at once in a task; bounds its memory.
 WINDOW = 1 << 20
 #: Pre-tokens in a generation of the cache of a worker.
-CACHED = 200_000
+CACHED = 100_000
 #: Closes each document.
 END_ID = 1
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+SCHEMA = ", ".join(f"{c} long" for c in COLUMNS)
 
 Piece = tuple[int | None, int, int, int, bytes]  # doc_id, start, length, doc_tokens, ids
 
@@ -40,12 +43,37 @@ def split(piece: Piece, at: int) -> tuple[Piece, Piece]:
     return (doc, start, at, total, ids[: 4 * at]), (doc, start + at, length - at, total, ids[4 * at :])
 
 
+class _Open:
+    """Open sequences: the one of least cost with at least some room, exactly; a heap by cost for each room."""
+
+    def __init__(self, n: int, capacity: int):
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(capacity + 1)]
+        self.heaps[capacity] = [(0.0, i) for i in range(n)]
+        self.least = np.full(capacity + 1, np.inf)
+        if n:
+            self.least[capacity] = 0.0
+
+    def take(self, room: int) -> tuple[float, int, int] | None:
+        """(cost, sequence, its room)."""
+        at = room + int(self.least[room:].argmin())
+        if not self.heaps[at]:
+            return None
+        spent, i = heapq.heappop(self.heaps[at])
+        self.least[at] = self.heaps[at][0][0] if self.heaps[at] else np.inf
+        return spent, i, at
+
+    def put(self, spent: float, i: int, room: int) -> None:
+        if room:
+            heapq.heappush(self.heaps[room], (spent, i))
+            self.least[room] = self.heaps[room][0][0]
+
+
 def pack_window(pieces: list[Piece], capacity: int = CAPACITY) -> tuple[list[list[Piece]], list[Piece]]:
     """(full sequences, rest): as many sequences as the tokens fill, and pieces of fewer tokens than one holds.
 
     Pieces over the capacity give whole sequences first. The others, longest first, go to the sequence of least cost
-    that has room; a piece that fits in none of the cheapest few is cut to fill the cheapest and its end goes on.
-    What is left when all are full are the ends of the shortest pieces.
+    that has room for them; a piece that no sequence has room for is cut to fill the one of least cost, and its end goes
+    on. What is left when all are full are the ends of the shortest pieces.
     """
     done, queue = [], []
     for p in pieces:
@@ -55,30 +83,22 @@ def pack_window(pieces: list[Piece], capacity: int = CAPACITY) -> tuple[list[lis
         if p[2]:
             queue.append(p)
     n = sum(p[2] for p in queue) // capacity
-    open_: list[list[Piece]] = [[] for _ in range(n)]
-    room, heap, rest = [capacity] * n, [(0.0, i) for i in range(n)], []
+    sequences: list[list[Piece]] = [[] for _ in range(n)]
+    opened, rest = _Open(n, capacity), []
     queue.sort(key=lambda p: -p[2])
     for p in queue:
         while p is not None:
-            if not heap:
-                rest.append(p)
-                break
-            passed = []
-            while heap and len(passed) < 8 and room[heap[0][1]] < p[2]:
-                passed.append(heapq.heappop(heap))
-            if heap and room[heap[0][1]] >= p[2]:
-                spent, i = heapq.heappop(heap)
+            if found := opened.take(p[2]):
                 part, p = p, None
+            elif found := opened.take(1):
+                part, p = split(p, found[2])
             else:
-                spent, i = passed.pop(0)
-                part, p = split(p, room[i])
-            for x in passed:
-                heapq.heappush(heap, x)
-            open_[i].append(part)
-            room[i] -= part[2]
-            if room[i]:
-                heapq.heappush(heap, (spent + cost(part[2], capacity), i))
-    return done + open_, rest
+                rest.append(p)
+                break
+            spent, i, room = found
+            sequences[i].append(part)
+            opened.put(spent + cost(part[2], capacity), i, room - part[2])
+    return done + sequences, rest
 
 
 def last_sequences(rest: list[Piece]) -> list[list[Piece]]:
@@ -117,10 +137,8 @@ def _tokenizer(path: str) -> tuple[Tokenizer, bpe.PieceCache, list[str]]:
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         t = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            parts = json.load(f)
-        split = parts["pre_tokenizer"] or {}
-        plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not parts["normalizer"]
+        split = t.pre_tokenizer
+        plain = isinstance(split, ByteLevel) and not split.add_prefix_space and split.use_regex and t.normalizer is None
         model, letters = t.model, _byte_letters()
         by_piece = lambda raw: [x.id for x in model.tokenize(raw.decode("latin-1").translate(letters))]
         _TOKENIZERS[path] = t, bpe.PieceCache(by_piece if plain else None, CACHED), [x.content for x in t.get_added_tokens_decoder().values()]
@@ -139,6 +157,43 @@ def token_ids(path: str, text: str) -> bytes:
     return bpe.encode_text(cache, text)
 
 
+def _rows(sequences: list[list[Piece]], first_id: int | None, keep_ids: bool) -> pa.RecordBatch:
+    """Pieces by sequence, numbered from ``first_id``; without it they are in none yet and carry their ids."""
+    out = []
+    for n, sequence in enumerate(sequences):
+        offset = 0
+        for doc, start, length, total, ids in sequence:
+            out.append((doc, start, length, zlib.crc32(ids), total, None if first_id is None else first_id + n, offset, ids))
+            offset += length
+    columns = list(zip(*out, strict=True)) or [()] * 8
+    arrays = [pa.array(c, pa.int64()) for c in columns[:7]]
+    carried = columns[7] if keep_ids or first_id is None else [None] * len(out)
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(carried, pa.binary())], [*COLUMNS, "raw"])
+
+
+def _packed(pieces: Iterator[Piece], turn: int, last: bool, keep_ids: bool, capacity: int) -> Iterator[pa.RecordBatch]:
+    """One task's rows: full sequences window by window, and at its end what fills none (on the last turn short sequences).
+
+    A sequence's id holds the turn, the partition and its number there, so a task that runs again gives the same rows.
+    """
+    held: list[Piece] = []
+    tokens, done = 0, turn << 56 | TaskContext.get().partitionId() << 32
+    for piece in pieces:
+        held.append(piece)
+        tokens += piece[2]
+        if tokens >= WINDOW:
+            full, held = pack_window(held, capacity)
+            tokens = sum(p[2] for p in held)
+            yield _rows(full, done, keep_ids)
+            done += len(full)
+    full, held = pack_window(held, capacity)
+    if last:
+        full += last_sequences(held)
+    yield _rows(full, done, keep_ids)
+    if not last:
+        yield _rows([held], None, keep_ids)
+
+
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """Pieces of the documents of ``docs`` (doc_id, text) in sequences of at most ``capacity`` tokens.
 
@@ -146,51 +201,55 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bo
     is the ids of its text and END_ID; a null or empty text is END_ID alone. Each id lies in exactly one piece. Repeated
     rows and null ids are packed like others; other columns don't matter; an empty table gives no rows.
 
-    Each task packs the documents that it reads, about WINDOW tokens at a time, and carries what doesn't fill a sequence
-    on; so nothing is shuffled, no task holds more than a window and one document, and only the last tokens of a task
-    make sequences below the capacity, of powers of two. Sequence ids hold the partition in the upper 32 bits, so a
-    task that runs again gives the same rows.
+    Each task packs the documents that it reads, about WINDOW tokens at a time. What fills no sequence in the end, less
+    than one for each task, is gathered into tasks of about WINDOW tokens and packed again, until one task is left (a
+    five-hundredth of the tasks each turn). So all sequences are full, however the input is split, but those of the very
+    last tokens, eleven at most, whose lengths are powers of two. No text is shuffled but these ends, and no task holds
+    more than a window and one document.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Piece] = []
-        tokens = 0
-        sequence_id = TaskContext.get().partitionId() << 32
-
-        def rows(sequences: list[list[Piece]]) -> pa.RecordBatch:
-            nonlocal sequence_id
-            out = []
-            for sequence in sequences:
-                offset = 0
-                for doc, start, length, total, ids in sequence:
-                    out.append((doc, start, length, zlib.crc32(ids), total, sequence_id, offset, ids))
-                    offset += length
-                sequence_id += 1
-            columns = list(zip(*out, strict=True)) or [()] * 8
-            arrays = [pa.array(c, pa.int64()) for c in columns[:7]]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-            if keep_ids:
-                arrays.append(pa.array([memoryview(x).cast("I").tolist() for x in columns[7]], pa.list_(pa.int64())))
-                names.append("ids")
-            return pa.RecordBatch.from_arrays(arrays, names)
-
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = array("I", [END_ID]).tobytes()
-        for batch in batches:
-            for part in common.slices(batch, "text", 1 << 20):
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    ids = token_ids(tokenizer, text or "") + end
-                    held.append((doc, 0, len(ids) // 4, len(ids) // 4, ids))
-                    tokens += len(ids) // 4
-                    if tokens >= WINDOW:
-                        full, held = pack_window(held, capacity)
-                        tokens = sum(p[2] for p in held)
-                        yield rows(full)
-        full, held = pack_window(held, capacity)
-        yield rows(full + last_sequences(held))
+
+        def pieces() -> Iterator[Piece]:
+            for batch in batches:
+                for part in common.slices(batch, "text", 512 << 10):
+                    for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                        ids = token_ids(tokenizer, text or "") + end
+                        yield doc, 0, len(ids) // 4, len(ids) // 4, ids
+
+        yield from _packed(pieces(), 0, False, keep_ids, capacity)
         if tokenizer in _TOKENIZERS:  # the worker lives on
             _TOKENIZERS[tokenizer][1].forget()
         common.release()
 
-    schema = SCHEMA + (", ids array<long>" if keep_ids else "")
+    def again(turn: int, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pieces = (p for b in batches for p in zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "length", "doc_tokens", "raw")), strict=True))
+            yield from _packed(pieces, turn, last, keep_ids, capacity)
+
+        return run
+
     common.bounded_batches(docs)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    scratch, schema = Scratch(docs.sparkSession, "packing"), SCHEMA + ", raw binary"
+    rows = scratch.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(read, schema), "turn0")
+    out, turn, parts = rows.where("sequence_id IS NOT NULL"), 0, 0
+    while True:
+        rest = rows.where("sequence_id IS NULL")
+        tokens = rest.agg(F.sum("length")).first()[0] or 0
+        if not tokens:
+            break
+        turn, parts = turn + 1, min(-(-tokens // WINDOW), max(1, parts // 2) if turn else tokens)
+        order = ["doc_id", "start", "ids_crc32"]
+        dealt = rest.repartition(1) if parts == 1 else rest.repartition(parts, *order)
+        rows = scratch.table(dealt.sortWithinPartitions(*order).mapInArrow(again(turn, parts == 1), schema), f"turn{turn}")
+        out = out.unionByName(rows.where("sequence_id IS NOT NULL"))
+    if not keep_ids:
+        return out.drop("raw")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [np.frombuffer(x.as_buffer(), "<u4").astype(np.int64) for x in b.column("raw")]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in COLUMNS), pa.array(ids, pa.list_(pa.int64()))], [*COLUMNS, "ids"])
+
+    return out.mapInArrow(unpack, SCHEMA + ", ids array<long>")

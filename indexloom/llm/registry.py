@@ -13,42 +13,52 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page: page_id, url, text, n_chars. Null html gives the empty text."""
     return html_extract.extract(_read(spark, sf_dir, "pages"))
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text: doc_id, held_out, lang_pred, score. Texts without a letter are ``und`` with score 0."""
     return language.identify(_read(spark, sf_dir, "documents"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens. A null text is its end token alone."""
     return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every row: doc_id, keep_id, group_size, kept, text_sha256. Null counts as empty."""
     return exact_dedup.exact_dedup(spark, _read(spark, sf_dir, "documents"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The WARC record of every page, written and read back. A null html is the empty payload."""
     return warc.archive_pages(spark, _read(spark, sf_dir, "pages")).drop("url", "payload")
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document by two-word shingles: doc_id, n_shingles, component_id, kept."""
     return minhash.near_dedup(spark, _read(spark, sf_dir, "documents"), k=2)
 
 
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without runs of 50 words that a smaller doc_id has."""
     return substring.substring_dedup(spark, _read(spark, sf_dir, "documents"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text: doc_id, held_out, score, predicted. Null and empty texts are scored like others."""
     return quality.classify(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text, and the digest of their decoding. A null text has none."""
     return bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def op10_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector: vec_id, n_links, component_id, kept. Invalid vectors link with nothing."""
     return embedding.near_dedup(spark, _read(spark, sf_dir, "embeddings"))
 
 

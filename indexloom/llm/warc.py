@@ -11,10 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import common
 from .common import Scratch, scratch_path
 
 #: Shorter payloads are always stored: a revisit record would not be smaller.
 MIN_PAYLOAD = 100
+#: Repeated digests that are broadcast; about 100 bytes each.
+FEW_DIGESTS = 1 << 17
 #: Fixed values of the WARC 1.1 format.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -28,15 +31,23 @@ def resolve_revisits(spark: SparkSession, pages: DataFrame, min_payload: int = M
     Of payloads with equal SHA-256 and at least ``min_payload`` bytes, the smallest page_id is the response and the
     others revisit it. A null html is the empty payload. Rows that repeat the smallest page_id are responses too; a
     null page_id is a revisit if another row has the payload under an id, else a response. Only (digest, page_id)
-    headers are aggregated; digests that occur once leave there, and the join that follows is an equi-join on the
-    digest whose large partitions adaptive execution splits.
+    headers are aggregated; digests that occur once leave there. At most FEW_DIGESTS repeated ones are broadcast. Beyond
+    that records whose digest surely occurs once pass where they are read, and only the others go through an equi-join
+    on the digest, whose large partitions adaptive execution splits.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     heads = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload.cast("binary"), 256).alias("payload_digest"))
     first = heads.where(F.col("payload_bytes") >= min_payload).groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     first = Scratch(spark, "warc").table(first, "first")
+    n = first.count()
+    if n <= FEW_DIGESTS:
+        joined = heads.join(F.broadcast(first), "payload_digest", "left")
+    else:
+        hit = common.may_be_in(spark, common.bloom_bits(first, F.xxhash64("payload_digest"), common.filter_size(n)), F.xxhash64("payload_digest"))
+        once = heads.where(~hit).withColumn("first_id", F.lit(None).cast("long"))
+        joined = once.unionByName(heads.where(hit).join(first, "payload_digest", "left"))
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
-    return heads.join(first, "payload_digest", "left").select(
+    return joined.select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, F.col("first_id")).alias("refers_to"),

@@ -3,7 +3,9 @@
 import array
 import hashlib
 import html
+import time
 import zlib
+from collections import Counter
 
 import pytest
 import public_tokenizers
@@ -43,6 +45,73 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+PARAGRAPH = "Plain text runs on and on. " * 8
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        # Teasers that are articles, the body elsewhere.
+        (f"<article>teaser</article><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>", f"{PARAGRAPH.strip()}\n{PARAGRAPH.strip()}"),
+        # Class names alone don't take prose out of an article.
+        (f"<article><p>{PARAGRAPH}</p><div class='related-work'>Others did it too.</div><p class='side'>Left.</p></article>", f"{PARAGRAPH.strip()}\nOthers did it too.\nLeft."),
+        # Prose in boilerplate stays out however long it is, in and beside the article.
+        (f"<nav><p>{PARAGRAPH}</p></nav><main><h1>T</h1><p>{PARAGRAPH}</p><div class='post-comments'><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div></main><footer>{PARAGRAPH}</footer>", f"T\n{PARAGRAPH.strip()}"),
+        ("<nav>Home</nav><footer>only a footer</footer>", ""),
+        # No marks at all: short lines before the surge and after the dive go, those between stay.
+        (f"<div>Sign in</div><div><p>{PARAGRAPH}</p><p>No.</p><p>{PARAGRAPH}</p></div><hr><hr><hr><div>Imprint</div>", f"{PARAGRAPH.strip()}\nNo.\n{PARAGRAPH.strip()}"),
+        (f"<p>one <a href='x>y'>z</a> <b class=\"q>two {PARAGRAPH}", f"one z two {PARAGRAPH.strip()}"),
+    ],
+)
+def test_distribution_decides(page, text):
+    assert html_extract.main_text(page) == text
+
+
+def test_distribution_decides_on_real_pages(spark):
+    """With a threshold that anything reaches, adverts and footers come in; nothing else keeps them out."""
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect() if r["html"]]
+    assert sum(html_extract.main_text(p, surge=1) != html_extract.main_text(p) for p in pages) > len(pages) / 2
+
+
+def surges(weight, n_chars, window, surge, dive):
+    """Lines that stay, by the definition: a line is in if since the last surge no window was below the dive."""
+    n = len(weight)
+    total = [sum(weight[j] for j in range(n) if i <= j < i + window) for i in range(n)]
+    part = surge / window
+    begins = [i for i in range(n) if total[i] >= surge and weight[i] >= part]
+    inside = [any(all(total[j] >= dive for j in range(b, i + 1)) for b in begins if b <= i) for i in range(n)]
+    return [i for i in range(n) if inside[i] and n_chars[i] and (weight[i] >= part or weight[i] >= n_chars[i] / 2)]
+
+
+@given(st.lists(st.tuples(st.sampled_from(["", "x", "word " * 6, PARAGRAPH]), st.integers(0, 5), st.booleans(), st.booleans(), st.booleans()), max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_distribution_like_definition(made):
+    rows = [html_extract.Line(t.strip(), min(linked, len(t.strip())), a, b, h) for t, linked, a, b, h in made]
+    weight = html_extract.weights(rows)
+    at = [i for i, r in enumerate(rows) if r.text and not r.boilerplate]
+    most = max((sum(weight[i : i + 3]) for i in at), default=0)
+    surge = html_extract.SURGE if most >= html_extract.SURGE else most / 2
+    want = [rows[i].text for i in surges(weight, [len(r.text) for r in rows], 3, surge, min(html_extract.DIVE, surge))] if surge else []
+    original = html_extract.lines
+    html_extract.lines = lambda page: rows
+    try:
+        assert html_extract.main_text("") == "\n".join(want)
+    finally:
+        html_extract.lines = original
+
+
+@pytest.mark.parametrize("bad", ["<a <b <c ", "<a href=\"x' ", "<p><b>", "<", "&amp", "<a href='", "<li><b><p>", "</i>", "<!-", "<textarea>"])
+def test_broken_pages_take_linear_time(bad):
+    """Twenty times the page takes nothing like four hundred times as long."""
+    took = []
+    for size in (10_000, 200_000):
+        page = "<b>" * (size // 3) + bad * (size // len(bad))
+        began = time.process_time()
+        html_extract.main_text(page)
+        took.append(time.process_time() - began)
+    assert took[1] < 100 * max(took[0], 0.005)
+
+
 def test_extract_nulls_and_empty_table(spark):
     df = spark.createDataFrame([(1, "u", "<article>a</article>", 1), (1, "u", "<article>a</article>", 1), (None, None, None, None)], "page_id long, url string, html string, n_chars int")
     assert sorted(map(tuple, html_extract.extract(df).collect()), key=str) == [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)]
@@ -154,6 +223,37 @@ def test_pack_sf(spark):
     check_packing(rows, [tuple(r) for r in docs.select("doc_id", "text").collect()])
 
 
+def test_sequences_do_not_depend_on_partitions(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    for window, every in ((1 << 20, (1, 8, 64)), (3000, (16,))):  # one turn more, and several
+        monkeypatch.setattr(packing, "WINDOW", window)
+        for parts in every:
+            rows = packing.pack(docs.repartition(parts), JSON).collect()
+            check_packing([tuple(r) for r in rows], [tuple(r) for r in docs.select("doc_id", "text").collect()])
+            sizes = Counter()
+            for r in rows:
+                sizes[r["sequence_id"]] += r["length"]
+            full, rest = divmod(sum(sizes.values()), 2048)
+            assert sorted(sizes.values()) == sorted([2048] * full + [1 << i for i in range(11) if rest >> i & 1])
+
+
+def test_least_cost_sequence_with_room(monkeypatch):
+    """Each piece goes where a search through all sequences would put it."""
+    seen = []
+    take = packing._Open.take
+
+    def checked(self, room):
+        every = [(c, i, r) for r, heap in enumerate(self.heaps) for c, i in heap if r >= room]
+        got = take(self, room)
+        assert (got is None) == (not every) and (not every or got[0] == min(every)[0])
+        seen.append(got)
+        return got
+
+    monkeypatch.setattr(packing._Open, "take", checked)
+    packing.pack_window([(i, 0, 1 + i * 37 % 63, 0, bytes(4 * (1 + i * 37 % 63))) for i in range(200)], 64)
+    assert len(seen) > 200
+
+
 def test_pack_odd_texts(spark, monkeypatch):
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(ODD)], DOCS)
     check_packing([tuple(r) for r in packing.pack(df, JSON).collect()], list(enumerate(ODD)))
@@ -174,3 +274,29 @@ def test_pack_window_keeps_all_and_balances(lengths):
                 assert start == end
                 end += length
         assert end == n
+
+
+def test_both_matchers_agree_on_all_low_characters():
+    """The faster matcher has the classes of the other one, for each character below U+0250 among others."""
+    for c in map(chr, range(0x250)):
+        text = f"a{c}1 {c}{c} {c}'s!{c}\n{c} "
+        assert bpe._LOW.findall(text) == bpe._ANY.findall(text)
+        assert "".join(bpe.pre_tokens(text)) == text
+
+
+@pytest.mark.parametrize("few", [0, 1 << 17])
+def test_archives_of_several_files(spark, monkeypatch, tmp_path, few):
+    """Small files, a page larger than a file, and repeated digests by broadcast or by join give the same records."""
+    monkeypatch.setattr(warc, "FEW_DIGESTS", few)
+    rows = [(i, f"http://h/{i}", "x" * 150 + str(i % 5)) for i in range(40)] + [(100, None, "é" * 30_000), (101, "u", None), (101, "u", None), (None, None, "x" * 150 + "0")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = warc.archive_pages(spark, df, str(tmp_path / "w"), file_bytes=2000).collect()
+    assert len(list((tmp_path / "w").glob("*.gz"))) > 3 and len(got) == len(rows)
+    assert {(r["page_id"], r["record_type"], r["refers_to"]) for r in got if r["page_id"] != 101} == {
+        (i, "response" if i == 100 or i is not None and i < 5 else "revisit", None if i == 100 or i is not None and i < 5 else (i or 0) % 5) for i, _, _ in rows if i != 101
+    }
+
+
+def test_long_page():
+    page = "<main>" + "<p>Some words of prose that go on and on.</p>" * 30_000 + "</main>"
+    assert html_extract.main_text(page).count("\n") == 29_999
