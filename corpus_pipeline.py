@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indexloom.llm import language, minhash, packing, substring
-from indexloom.llm.common import Scratch
+from indexloom.llm.common import Scratch, drop_rows
 from indexloom.llm.exact_dedup import exact_dedup
 
 #: Documents whose language is less sure go: mean posterior over their words.
@@ -19,29 +19,34 @@ MIN_LANGUAGE_SCORE = 0.4
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters or of no sure language go; ``lang`` is the language found."""
+    """Documents without letters (null texts too) or of no sure language go; ``lang`` is the language found."""
     return language.keep_identified(docs, MIN_LANGUAGE_SCORE)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal after lower-casing A-Z, the largest doc_id stays. Rows repeated under one id become one."""
-    scratch = Scratch(spark, "stage-exact")
-    gone = scratch.table(exact_dedup(spark, docs, digests=False).where("NOT kept").select("doc_id").distinct(), "gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    twice = scratch.table(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
-    if not twice.take(1):
-        return kept
-    return kept.join(twice, "doc_id", "left_anti").unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(docs.columns)
+    """Of rows whose texts are equal after lower-casing A-Z, the one with the largest doc_id stays (null counts as least).
+
+    Rows are decided by their own text: where ids repeat, other texts under an id stay, and of equal rows one does. A
+    null text counts as empty. An empty table gives no rows.
+    """
+    return drop_rows(spark, docs, lambda rows: exact_dedup(spark, rows, digests=False), nulls_last=False, name="stage-exact")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at a similarity of 0.8, the smallest doc_id stays."""
-    gone = minhash.near_dedup(spark, docs, k=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.join(Scratch(spark, "stage-near").table(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
+    """Of rows linked by five-word shingles at a similarity of 0.8, the one with the smallest doc_id stays (null counts as largest).
+
+    Rows are decided by their own text, as in :func:`drop_exact_copies`. Null texts and texts without words link with
+    nothing and stay. An empty table gives no rows.
+    """
+    return drop_rows(spark, docs, lambda rows: minhash.near_dedup(spark, rows, k=5, percent=80), nulls_last=True, name="stage-near")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of 50 words that a smaller doc_id has go from the text; documents that lose every word go."""
+    """Runs of 50 words that a smaller doc_id has go from the text; documents that lose every word go.
+
+    Null and empty texts stay as they are. Rows without doc_id lose nothing; rows that share one are one document. Columns
+    beside doc_id and text pass through, n_chars is counted anew where words went. An empty table gives no rows.
+    """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     safe = {c: f"carry_{i}" for i, c in enumerate(rest)}
     renamed = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(s) for c, s in safe.items()])
@@ -54,7 +59,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 2048 tokens."""
+    """Pieces of the documents in sequences of at most 2048 tokens; a null text is its end token alone, repeated rows are packed each."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
