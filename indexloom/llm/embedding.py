@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 from . import common
 from .common import Scratch
 
-#: Dimensions of a block.
-BLOCK = 8
+#: Dimensions of a block: enough that few pairs are within a block's share by chance.
+BLOCK = 16
 #: Rows of a chunk of a cell. Chunks of a larger cell meet two by two, so a task holds at most two.
 CELL = 1 << 15
 #: Vectors that one coordinate is enough to part; each further coordinate is taken for sixteen times as many.
@@ -55,7 +56,7 @@ def _unit(raw, kind: str) -> np.ndarray:
 
 
 def _spread(classes: DataFrame, axes: int, budget: float, kind: str) -> DataFrame:
-    """A row for each block and cell that a vector lies in (home) or may reach from a lower cell.
+    """A row for each block and cell that a vector lies in (home) or may reach from a lower cell, with its coordinates there.
 
     Two vectors within ``budget`` (squared) have a block of b dimensions within budget * b / dim. A cell is a box over
     the first ``axes`` coordinates of a block; it meets the vectors of lower cells no farther than that.
@@ -69,7 +70,7 @@ def _spread(classes: DataFrame, axes: int, budget: float, kind: str) -> DataFram
                 by_dim.setdefault(len(r) // np.dtype(kind).itemsize, []).append(i)
             for dim, rows in by_dim.items():
                 y = _unit([raws[i] for i in rows], kind) @ rotation(dim)
-                pick, block, cells, homes = [], [], [], []
+                pick, block, cells, homes, coords = [], [], [], [], []
                 for b, part in enumerate(blocks(dim)):
                     size = part.stop - part.start
                     radius = math.sqrt(budget * size / dim) * (1 + EPSILON) + EPSILON
@@ -98,67 +99,116 @@ def _spread(classes: DataFrame, axes: int, budget: float, kind: str) -> DataFram
                         keep = lead >= 0  # home, or a lexicographically higher cell
                         pick.append(np.asarray(rows)[who[keep]])
                         block.append(np.full(keep.sum(), b))
-                        cells.append([f"{dim}:{b}:" + ":".join(map(str, c)) for c in cell[keep].tolist()])
+                        cells.append(_cell_names(dim, b, cell[keep]))
                         homes.append(lead[keep] == 0)
+                        raw = np.ascontiguousarray(y[:, part][who[keep]].astype("<f4")).tobytes()
+                        coords += [raw[k : k + 4 * size] for k in range(0, len(raw), 4 * size)]
                 take = np.concatenate(pick)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x for c in cells for x in c], pa.string()), pa.array(np.concatenate(block), pa.int32()), pa.array(np.concatenate(homes)), *(batch.column(c).take(pa.array(take)) for c in ("vec_id", "n", "raw"))],
-                    ["cell", "block", "home", "vec_id", "n", "raw"],
+                    [pa.array(np.concatenate(cells)), pa.array(np.concatenate(block), pa.int32()), pa.array(np.concatenate(homes)), batch.column("c").take(pa.array(take)), pa.array(coords, pa.binary())],
+                    ["cell", "block", "home", "c", "coords"],
                 )
 
-    return classes.select("vec_id", "n", "raw").mapInArrow(run, "cell string, block int, home boolean, vec_id long, n long, raw binary")
+    return classes.select("c", "raw").mapInArrow(run, "cell long, block int, home boolean, c long, coords binary")
 
 
-def _match(rows: pd.DataFrame, cosine: float, kind: str) -> pd.DataFrame:
-    """Links of one task of a cell that this block is the first to have: vec_id, links counted with copies, forest edge.
+def _cell_names(dim: int, block: int, cell: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of dimension, block and box. Boxes that share one are searched together, which costs time alone."""
+    h = np.full(len(cell), dim * 1_000_003 + block, np.int64).view(np.uint64)
+    for axis in range(cell.shape[1]):
+        h = common.mix(h + cell[:, axis].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return common.mix(h).view(np.int64)
 
-    A pair is taken from its home, or from the later of two homes in the order of (vec_id, vector). A task of two chunks
-    has only the pairs between them.
+
+def _near_strips(part: np.ndarray, home: np.ndarray, chunk: np.ndarray | None, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of rows within ``share`` in single precision, strip by strip: i is at home and j is away or comes before it.
+
+    Rows that are away come first. With ``chunk`` only pairs of two chunks.
     """
-    block, apart = int(rows["block"].iloc[0]), rows["i"].iloc[0] != rows["j"].iloc[0]
-    rows = rows.sort_values(["home", "vec_id", "raw"])  # probes first
-    unit = _unit(rows["raw"], kind)
-    ids, weight, home, chunk = (rows[c].to_numpy() for c in ("vec_id", "n", "home", "chunk"))
-    dim, n = unit.shape[1], len(unit)
-    y = unit @ rotation(dim)
-    parts = blocks(dim)
-    share = [(2 - 2 * cosine) * (p.stop - p.start) / dim * (1 + 1e-9) + 1e-12 for p in parts]
-    part = y[:, parts[block]].astype(np.float32)
+    n = len(part)
     square = np.einsum("ij,ij->i", part, part)
     order = np.where(home, np.arange(n), -1)
-    counts, root = np.zeros(n, np.int64), np.arange(n)
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    lo, step = n - int(home.sum()), max(1, STRIP // n)
+    lo, step = n - int(home.sum()), max(1, STRIP // max(1, n))
     while lo < n:
         hi = min(n, lo + step)
-        near = square[lo:hi, None] + square[None, :hi] - 2 * part[lo:hi] @ part[:hi].T <= share[block] + EPSILON
+        near = square[lo:hi, None] + square[None, :hi] - 2 * part[lo:hi] @ part[:hi].T <= share + EPSILON
         near &= order[None, :hi] < order[lo:hi, None]
-        if apart:
+        if chunk is not None:
             near &= chunk[None, :hi] != chunk[lo:hi, None]
         i, j = np.nonzero(near)
-        for k in range(0, len(i), 1 << 16):
-            a, b = i[k : k + (1 << 16)] + lo, j[k : k + (1 << 16)]
-            linked = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine
-            a, b = a[linked], b[linked]
-            for q in range(block + 1):  # within its share here, and not in an earlier block
-                e = y[a, parts[q]] - y[b, parts[q]]
-                within = np.einsum("ij,ij->i", e, e) <= share[q]
-                keep = within if q == block else ~within
-                a, b = a[keep], b[keep]
-            np.add.at(counts, a, weight[b])
-            np.add.at(counts, b, weight[a])
-            for u, v in zip(a.tolist(), b.tolist(), strict=True):
-                u, v = find(u), find(v)
-                root[max(u, v)] = min(u, v)
+        yield i + lo, j
         lo = hi
-    some = np.flatnonzero(counts)
-    return pd.DataFrame({"vec_id": ids[some], "links": counts[some], "to": ids[np.array([find(x) for x in some.tolist()], np.int64)]})
+
+
+def _involved(rows: pd.DataFrame, cosine: float, dims: dict[int, int]) -> pd.DataFrame:
+    """The rows (cell, block, c, home) of a task that have another within their block's share."""
+    out = []
+    for (block, width), g in rows.groupby(["block", rows["coords"].str.len()], sort=False):
+        g = g.sort_values("home", kind="stable")
+        apart = g["i"].iloc[0] != g["j"].iloc[0]
+        part = np.frombuffer(b"".join(g["coords"]), "<f4").reshape(len(g), -1)
+        # Blocks of one place and size have the largest share in the lowest dimension; cells of two dimensions rarely meet.
+        share = max((2 - 2 * cosine) * (p.stop - p.start) / dim for dim in dims for k, p in enumerate(blocks(dim)) if k == block and 4 * (p.stop - p.start) == width)
+        hit = np.zeros(len(g), bool)
+        for i, j in _near_strips(part, g["home"].to_numpy(bool), g["chunk"].to_numpy() if apart else None, share):
+            hit[i] = hit[j] = True
+        out.append(g.loc[hit, ["cell", "block", "home", "c"]])
+    return pd.concat(out)
+
+
+def _match(rows: pd.DataFrame, cosine: float, kind: str) -> pd.DataFrame:
+    """Links of one task of a cell that this block is the first to have: vec_id, links counted with copies, forest edge.
+
+    A pair is taken from its home, or from the later of two homes in the order of (vec_id, vector). A task of two chunks
+    has only the pairs between them.
+    """
+    found = []
+    for (block, width), g in rows.groupby(["block", rows["raw"].str.len()], sort=False):
+        apart = g["i"].iloc[0] != g["j"].iloc[0]
+        g = g.sort_values(["home", "vec_id", "raw"])  # probes first
+        unit = _unit(g["raw"], kind)
+        ids, weight, home, chunk = (g[c].to_numpy() for c in ("vec_id", "n", "home", "chunk"))
+        n, dim = unit.shape
+        y = unit @ rotation(dim)
+        parts = blocks(dim)
+        share = [(2 - 2 * cosine) * (p.stop - p.start) / dim * (1 + 1e-9) + 1e-12 for p in parts]
+        counts, root = np.zeros(n, np.int64), np.arange(n)
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for i, j in _near_strips(y[:, parts[block]].astype(np.float32), home.astype(bool), chunk if apart else None, share[block]):
+            for k in range(0, len(i), 1 << 16):
+                a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+                linked = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine
+                a, b = a[linked], b[linked]
+                for q in range(block + 1):  # within its share here, and not in an earlier block
+                    e = y[a, parts[q]] - y[b, parts[q]]
+                    within = np.einsum("ij,ij->i", e, e) <= share[q]
+                    keep = within if q == block else ~within
+                    a, b = a[keep], b[keep]
+                np.add.at(counts, a, weight[b])
+                np.add.at(counts, b, weight[a])
+                while (root != root[root]).any():
+                    root = root[root]
+                new = root[a] != root[b]  # a dense group is joined by its first few
+                for u, v in zip(a[new].tolist(), b[new].tolist(), strict=True):
+                    u, v = find(u), find(v)
+                    root[max(u, v)] = min(u, v)
+        some = np.flatnonzero(counts)
+        found.append(pd.DataFrame({"vec_id": ids[some], "links": counts[some], "to": ids[np.array([find(x) for x in some.tolist()], np.int64)]}))
+    return pd.concat(found)
+
+
+def _dealt(rows: DataFrame, scratch: Scratch, step: str) -> DataFrame:
+    """``rows`` of cells that some vector is at home in, in chunk pairs (cell, i, j) of at most twice CELL rows."""
+    sizes = rows.groupBy("cell").agg(F.max("home").alias("any"), F.count(F.lit(1)).alias("rows")).where("any AND rows > 1")
+    sizes = scratch.table(sizes.select("cell", F.ceil(F.col("rows") / CELL).cast("int").alias("chunks")), step)
+    dealt = rows.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("chunks", "other")
 
 
 def near_dedup(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
@@ -172,9 +222,11 @@ def near_dedup(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95) ->
 
     Equal vectors are one class that counts its copies. Classes are rotated and split into blocks of BLOCK dimensions;
     a pair within the squared distance 2 - 2 * cosine has a block within its share, and each block is joined by range
-    over grid cells. A cell of many rows is cut into chunks that meet two by two. A task computes block
-    distances in strips and verifies what passes on the whole vectors in double precision. A link is counted in the first block that has it, so no pair leaves a task: only counts and a
-    spanning forest of each cell do.
+    over grid cells. A cell of many rows is cut into chunks that meet two by two. First only ids and a block's coordinates
+    go to the cells, where block distances are computed in strips; rows that have another within the share, few but for
+    real links, go to their cell again as whole vectors, and what passes there is verified in double precision. A link is
+    counted in the first block that has it, so no pair leaves a task: only counts and a spanning forest of each cell do.
+    What the result reads is one table; all others are deleted.
     """
     scratch = Scratch(spark, "embedding")
 
@@ -189,20 +241,20 @@ def near_dedup(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95) ->
     read = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(bytes_of, "vec_id long, raw binary")
     read = scratch.table(read.withColumn("key", F.sha2("raw", 256)), "read")
     groups = read.where("raw is not null").groupBy("key").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("n"), F.min("raw").alias("raw"))
-    classes = scratch.table(groups, "classes")
+    classes = scratch.table(groups.withColumn("c", F.monotonically_increasing_id()), "classes")
+    dims = {r[0] // np.dtype(kind).itemsize: 0 for r in classes.select(F.octet_length("raw")).distinct().limit(1 << 16).collect()}
     n = classes.count()
     axes = 1 + max(0, math.ceil(math.log(max(1, n / ONE_AXIS), 16)))
     rows = scratch.table(_spread(classes, axes, 2 - 2 * cosine, kind), "rows")
-    sizes = rows.groupBy("cell").agg(F.max("home").alias("any"), F.count(F.lit(1)).alias("rows")).where("any")
-    sizes = scratch.table(sizes.select("cell", F.ceil(F.col("rows") / CELL).cast("int").alias("chunks")), "sizes")
-    dealt = rows.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("cell", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "block", "home", "chunk", "vec_id", "n", "raw")
-    found = dealt.groupBy("cell", "i", "j").applyInPandas(lambda rows: _match(rows, cosine, kind), "vec_id long, links long, to long")
-    found = scratch.table(found, "found")
+    dealt = _dealt(rows, scratch, "sizes").groupBy("cell", "i", "j")
+    near = dealt.applyInPandas(lambda rows: _involved(rows, cosine, dims), "cell long, block int, home boolean, c long")
+    near = scratch.table(near.distinct(), "near")
     scratch.drop("rows", "sizes")
-    labels = common.components(spark, found.select(F.col("vec_id").alias("a"), F.col("to").alias("b")), "embedding")
+    whole = _dealt(near, scratch, "near-sizes").join(classes.select("c", "vec_id", "n", "raw"), "c")
+    found = scratch.table(whole.groupBy("cell", "i", "j").applyInPandas(lambda rows: _match(rows, cosine, kind), "vec_id long, links long, to long"), "found")
+    labels = common.components(spark, found.select(F.col("vec_id").alias("a"), F.col("to").alias("b")), scratch, "labels")
     links = scratch.table(found.groupBy("vec_id").agg(F.sum("links").alias("links")), "links")
     graph = classes.join(links, "vec_id", "left").join(labels.withColumnRenamed("node", "vec_id"), "vec_id", "left").select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component"))
     graph = scratch.table(graph, "graph")
     component = F.coalesce("component", "vec_id")
-    return read.join(graph, "key", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    return scratch.only(read.join(graph, "key", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept")))
