@@ -69,12 +69,7 @@ def run(
     spark: SparkSession, scenarios: Mapping[str, Scenario], staged_root: str, keywords: DataFrame | None = None, categories: DataFrame | None = None, groups: DataFrame | None = None,
     output_root: str | None = None, user: str = "user", n_bins: int = 30,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """(tables of all scenarios with their analysis, seconds by scenario and stage). Writes them if there is an output root.
-
-    With an output root the tables returned read what was written, each stage's seconds are those of computing and
-    writing its table (a stage's inputs are computed by the first table that needs them), and nothing stays cached.
-    Without one everything is lazy, so there is only the time of planning.
-    """
+    """(tables of all scenarios with their analysis, seconds by scenario and stage). Writes them if there is an output root."""
     results, times = {}, []
     for scenario in scenarios.values():
         scenario.check()
@@ -84,14 +79,11 @@ def run(
         results[name] = run_scenario(spark, staged, scenario, keywords, categories, groups)
         times.append((name, "plan", time.time() - began))
     every = union_scenarios(results)
+    began = time.time()
     every["analysis"] = analysis.analyse(every, [*GROUP_COLS, "scenario"], n_bins)
+    times.append(("all", "analysis", time.time() - began))
     if output_root:
-        run_name = tables.run_id(user)
-        for name, df in every.items():
-            began = time.time()
-            path = tables.write_outputs({name: df}, output_root, run_name)
-            times.append(("all", name, time.time() - began))
-            every[name] = spark.read.csv(f"{path}/{name}", header=True, schema=df.schema) if name == "analysis" else spark.read.parquet(f"{path}/{name}")
-        for result in results.values():
-            result["filtered"].unpersist()
+        began = time.time()
+        tables.write_outputs(every, output_root, tables.run_id(user))
+        times.append(("all", "write", time.time() - began))
     return every, spark.createDataFrame(times, "scenario string, stage string, seconds double")
