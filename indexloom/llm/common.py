@@ -68,7 +68,7 @@ class Scratch:
 # ---------------------------------------------------------------- documents
 
 #: Bytes of an Arrow batch on its way to Python (or one longer row), where the session has Spark's default. The executor keeps what batches took outside its heap, so large ones add up.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 _BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
