@@ -190,6 +190,24 @@ def test_geary_khamis_is_the_fixed_point(spark):
     assert merged["g0", date(2019, 1, 1)] == 0.5 and merged["g0", last] != 9.0 and len(merged) == 3
 
 
+def test_quartiles_of_large_groups(spark):
+    """The quartiles themselves are fences here, so a quartile that is off by one rank shows. Null keys are a group."""
+    rng = random.Random(3)
+    values = {"a": rng.sample(range(10**6), 20001), None: rng.sample(range(10**6), 12346), "ties": [rng.randint(1, 9) for _ in range(8000)], "one": [5], "none": []}
+    rows = [(g, float(x)) for g, xs in values.items() for x in xs] + [(g, None) for g in values for _ in range(100)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, price double").repartition(8)
+    for flagged, ends in ((outliers.tukey(df, G, k=0.0), (0.25, 0.75)), (outliers.kimber(df, G, k=-1.0), (0.5, 0.5))):
+        got = defaultdict(list)
+        for r in flagged.collect():
+            assert (r["outlier"] is None) == (r["price"] is None)
+            if r["outlier"] == 0:
+                got[r["g"]].append(r["price"])
+        for g, xs in values.items():
+            low, high = [sorted(xs)[math.ceil(p * len(xs)) - 1] if xs else 0 for p in ends]
+            assert sorted(got[g]) == sorted(x for x in xs if low <= x <= high)
+
+
 def test_outliers(spark):
     rows = [("a", x) for x in (1.0, 2.0, 2.0, 3.0, 3.0, 4.0, 50.0, None)] + [("b", 5.0), ("c", -1.0), ("c", 1.0)]
     df = spark.createDataFrame(rows, "item string, price double")
