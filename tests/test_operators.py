@@ -336,3 +336,19 @@ def test_helpers(spark):
     assert schema.find("b", nested) == [1, 2, 3] and schema.nested_values({"x": {"y": 1}, "z": 2}) == [1, 2]
     wide = spark.createDataFrame([("a", 1, None)], "k string, x int, y int")
     assert sorted((r["variable"], r["value"]) for r in schema.melt(wide, ["k"], ["x", "y"]).collect()) == [("x", 1), ("y", None)]
+
+
+def test_queries_round_like_their_sql(spark):
+    """Halves at the seventh place, as prices over 32 or 64 have them, and what can't be scaled."""
+    import duckdb
+
+    from indexloom.plans import registry
+
+    rng = random.Random(11)
+    xs = [rng.randint(1, 10**8) / 100 / q for q in (1, 3, 32, 48, 64) for _ in range(3000)]
+    xs += [2139.0671875, 5e-7, 1.5e-6, 2.5e-6, 0.49999999999999994e-6, 0.0, 9007199254.740993, 4503599627.3704965, 1e17, 1e300, 1.7e308, math.inf]
+    xs += [-x for x in xs]
+    got = {r["i"]: r["x"] for r in registry.rounded(spark.createDataFrame(list(enumerate(xs)) + [(-1, None), (-2, math.nan)], "i int, x double")).collect()}
+    want = duckdb.connect().execute(f"SELECT list_transform(?::DOUBLE[], lambda x: round(x, {registry.PLACES}))", [xs]).fetchall()[0][0]
+    assert [(x, got[i], w) for i, (x, w) in enumerate(zip(xs, want, strict=True)) if got[i] != w] == []
+    assert got[-1] is None and math.isnan(got[-2])
