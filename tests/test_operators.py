@@ -282,6 +282,15 @@ def test_expenditure_ties_and_limit(spark):
     assert clean.count() == len(rows) and {r["filtered"] for r in info.collect()} == {0}
 
 
+def test_expenditure_ties_of_sums(spark):
+    """The same three sales added in another order are ties, a share that is less by 1e-9 isn't."""
+    sums = {"p1": 0.3 + 0.2 + 0.1, "p2": 0.1 + 0.2 + 0.3, "p3": 0.3 + 0.2 + 0.1, "p0": 0.6 - 6e-10}
+    assert sums["p1"] < sums["p2"]
+    got = filtering.expenditure(frame(spark, [("a", p, month(0), x, 1.0) for p, x in sums.items()]), G, 0.3).collect()
+    assert [r["product_id"] for r in sorted(got, key=lambda r: r["cumsum_share"])] == ["p1", "p2", "p3", "p0"]
+    assert {r["product_id"] for r in got if r["filtered"] == 0} == {"p1"}
+
+
 def test_grouped_products(spark):
     by = ["item"]
     df = spark.createDataFrame([("tea", month(0), "p", 2.0, 1.0), ("tea", month(0), "q", 4.0, 1.0), ("tea", month(0), "r", 9.0, 1.0)], "item string, month date, product_id string, price double, quantity double")
