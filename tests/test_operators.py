@@ -361,3 +361,21 @@ def test_queries_round_like_their_sql(spark):
     want = duckdb.connect().execute(f"SELECT list_transform(?::DOUBLE[], lambda x: round(x, {registry.PLACES}))", [xs]).fetchall()[0][0]
     assert [(x, got[i], w) for i, (x, w) in enumerate(zip(xs, want, strict=True)) if got[i] != w] == []
     assert got[-1] is None and math.isnan(got[-2])
+
+
+@pytest.mark.parametrize("method,sql", [("unweighted_geometric", "exp(avg(ln(x)))"), ("weighted_geometric", "exp(sum(ln(x) * q) / sum(q))")])
+def test_geometric_means_round_like_their_sql(spark, method, sql):
+    """Of single prices with halves at the seventh place; prices not above 0 have no logarithm."""
+    import duckdb
+
+    from indexloom.plans import registry
+
+    rng = random.Random(12)
+    rows = [(i, rng.randint(1, 10**7) / 100 / 32, float(rng.randint(1, 9))) for i in range(6000)]
+    odd = [(-1, 0.0, 1.0), (-2, -1.0, 1.0), (-3, None, 1.0), (-4, math.inf, 1.0), (-5, 0.0, 1.0), (-5, 4.0, 1.0)]
+    df = averaging.METHODS[method](spark.createDataFrame(rows + odd, "i int, price double, quantity double"), ["i"])
+    got = {r["i"]: r["price"] for r in registry.rounded(df).collect()}
+    con = duckdb.connect()
+    want = con.execute(f"SELECT i, round({sql}, {registry.PLACES}) FROM (SELECT unnest(?::INT[]) AS i, unnest(?::DOUBLE[]) AS x, unnest(?::DOUBLE[]) AS q) GROUP BY i", list(map(list, zip(*rows, strict=True)))).fetchall()
+    assert len(want) == len(rows) and [(i, got[i], w) for i, w in want if got[i] != w] == []
+    assert [got[i] for i in (-1, -2, -3, -4)] == [None, None, None, math.inf] and got[-5] == (4.0 if method == "unweighted_geometric" else 2.0)
