@@ -379,3 +379,19 @@ def test_geometric_means_round_like_their_sql(spark, method, sql):
     want = con.execute(f"SELECT i, round({sql}, {registry.PLACES}) FROM (SELECT unnest(?::INT[]) AS i, unnest(?::DOUBLE[]) AS x, unnest(?::DOUBLE[]) AS q) GROUP BY i", list(map(list, zip(*rows, strict=True)))).fetchall()
     assert len(want) == len(rows) and [(i, got[i], w) for i, w in want if got[i] != w] == []
     assert [got[i] for i in (-1, -2, -3, -4)] == [None, None, None, math.inf] and got[-5] == (4.0 if method == "unweighted_geometric" else 2.0)
+
+
+def test_logarithmic_fences_like_their_sql(spark):
+    """Two equal steps on a log scale above the third quartile lie on the fence: last bits of the logarithms decide."""
+    import duckdb
+
+    steps = [(float(i), float(i) * r, float(i) * r**3) for i in range(1, 400) for r in (1.25, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0)]
+    rows = [(i, p) for i, (a, b, x) in enumerate(steps) for p in (a, a, b, b, x)]
+    df = outliers.find_outliers(spark.createDataFrame([*rows, (-1, 0.0), (-1, 1.0)], "i int, price double"), ["i"], "tukey", 2.0, log_transform=True)
+    got = {(r["i"], r["price"]): r["outlier"] for r in df.collect()}
+    con = duckdb.connect()
+    quartiles = "quantile_disc(ln(p), 0.25) OVER g AS q1, quantile_disc(ln(p), 0.75) OVER g AS q3"
+    sql = f"SELECT i, p, CAST(ln(p) < q1 - 2.0 * (q3 - q1) OR ln(p) > q3 + 2.0 * (q3 - q1) AS INTEGER) FROM (SELECT *, {quartiles} FROM (SELECT unnest(?::INT[]) AS i, unnest(?::DOUBLE[]) AS p) WINDOW g AS (PARTITION BY i))"
+    want = con.execute(sql, list(map(list, zip(*rows, strict=True)))).fetchall()
+    assert len(want) == len(rows) and [(i, p, got[i, p], w) for i, p, w in want if got[i, p] != w] == []
+    assert got[-1, 0.0] is None and got[-1, 1.0] == 0
