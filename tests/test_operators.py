@@ -395,3 +395,20 @@ def test_logarithmic_fences_like_their_sql(spark):
     want = con.execute(sql, list(map(list, zip(*rows, strict=True)))).fetchall()
     assert len(want) == len(rows) and [(i, p, got[i, p], w) for i, p, w in want if got[i, p] != w] == []
     assert got[-1, 0.0] is None and got[-1, 1.0] == 0
+
+
+def test_jevons_of_single_products_rounds_like_its_sql(spark):
+    """Price relatives with halves at the seventh place."""
+    import duckdb
+
+    from indexloom.plans import registry
+
+    rng = random.Random(3)
+    rows = [(str(i), rng.randint(1, 10**7) / 100 / 32, float(rng.choice((1, 2, 4, 5, 8, 10, 16, 20, 25, 50)))) for i in range(6000)]
+    obs = [(g, "p", month(t), x, 1.0) for g, p, p0 in rows for t, x in ((0, p0), (1, p))]
+    odd = [("none", "p", month(0), 0.0, 1.0), ("none", "p", month(1), 2.0, 1.0), ("late", "p", month(1), 2.0, 1.0)]
+    df = fixed_base.jevons_fixed_base(spark.createDataFrame(obs + odd, OBS), G)
+    got = {(r["g"], r["month"]): r["index_value"] for r in registry.rounded(df).collect()}
+    want = duckdb.connect().execute(f"SELECT g, round(exp(avg(ln(p / p0))), {registry.PLACES}) FROM (SELECT unnest(?::VARCHAR[]) AS g, unnest(?::DOUBLE[]) AS p, unnest(?::DOUBLE[]) AS p0) GROUP BY g", list(map(list, zip(*rows, strict=True)))).fetchall()
+    assert len(want) == len(rows) and [(g, got[g, month(1)], w) for g, w in want if got[g, month(1)] != w] == []
+    assert len(got) == 2 * len(rows) and all(got[g, month(0)] == 1 for g, *_ in rows)
