@@ -412,3 +412,13 @@ def test_jevons_of_single_products_rounds_like_its_sql(spark):
     want = duckdb.connect().execute(f"SELECT g, round(exp(avg(ln(p / p0))), {registry.PLACES}) FROM (SELECT unnest(?::VARCHAR[]) AS g, unnest(?::DOUBLE[]) AS p, unnest(?::DOUBLE[]) AS p0) GROUP BY g", list(map(list, zip(*rows, strict=True)))).fetchall()
     assert len(want) == len(rows) and [(g, got[g, month(1)], w) for g, w in want if got[g, month(1)] != w] == []
     assert len(got) == 2 * len(rows) and all(got[g, month(0)] == 1 for g, *_ in rows)
+
+
+def test_filling_by_stretches(spark):
+    """Rows dealt out by stretches of months are filled like others, and fewer are shuffled than are filled."""
+    rows = [("a", p, month(t), float(t + 1), 1.0) for p, seen in (("x", (0, 2, 7, 8, 11)), ("y", (3, 15)), ("z", range(16))) for t in seen]
+    plain = imputation.forward_fill(frame(spark, rows), 2, G)
+    dealt = imputation.forward_fill(frame(spark, rows), 2, G, stretch="s")
+    assert sorted(dealt.drop("s").collect()) == sorted(plain.collect())
+    assert {r["s"] for r in dealt.select("s").collect()} == {0, 1}
+    assert dealt.select(*G, "s", "month").distinct().count() == 16  # a month is in one stretch
